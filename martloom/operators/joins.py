@@ -1,0 +1,50 @@
+"""A left equi-join that stays balanced when a few keys own most of the left rows."""
+
+from __future__ import annotations
+
+from math import ceil
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from martloom.sources.reference import in_memory
+
+# Size bound of the list of hot keys. Keys beyond it are joined all the same, just in one piece.
+HOT_KEY_LIMIT = 10_000
+
+_PIECE = "_piece"
+_PIECES = "_pieces"
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> dict[object, int]:
+    """Keys with at least `hot_rows` rows and the number of pieces to deal their rows into.
+
+    One pass over the key column. The count is combined before the shuffle, and at most HOT_KEY_LIMIT
+    keys, the heaviest, come to the driver.
+    """
+    counts = rows.groupBy(key).count().filter((F.col("count") >= hot_rows) & F.col(key).isNotNull())
+    heaviest = counts.orderBy(F.desc("count"), key).limit(HOT_KEY_LIMIT).collect()
+    return {row[0]: ceil(row[1] / hot_rows) for row in heaviest}
+
+
+def balanced_left_join(left: DataFrame, right: DataFrame, key: str, hot: dict[object, int]) -> DataFrame:
+    """`left.join(right, key, "left")`, with the rows of every hot key spread over several join tasks.
+
+    Left rows of a hot key are dealt out by a hash of the whole row, which is the same on every attempt of
+    a task; the matching right rows are repeated once per piece. All other keys have one piece.
+    """
+    if not hot:
+        return left.join(right, key, "left")
+    schema = StructType([left.schema[key], StructField(_PIECES, IntegerType())])
+    pieces_of = F.broadcast(in_memory(left.sparkSession, hot.items(), schema))
+    row_hash = F.xxhash64(*[F.col(name) for name in left.columns])
+    pieces = F.col(_PIECES)
+
+    dealt = left.join(pieces_of, key, "left").withColumn(
+        _PIECE, F.when(pieces.isNull(), 0).otherwise(F.pmod(row_hash, pieces)).cast("int")
+    )
+    repeated = right.join(pieces_of, key, "left").withColumn(
+        _PIECE, F.explode(F.when(pieces.isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), pieces - 1)))
+    )
+    return dealt.drop(_PIECES).join(repeated.drop(_PIECES), [key, _PIECE], "left").drop(_PIECE)

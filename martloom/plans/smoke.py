@@ -1,0 +1,60 @@
+"""One-row datasets that prove a deployment can build models at all."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+from typing import TYPE_CHECKING
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from martloom.functions.times import now
+
+if TYPE_CHECKING:
+    from martloom.plans.warehouse import Warehouse
+
+
+def _one_row(warehouse: Warehouse, **columns: Column) -> DataFrame:
+    return warehouse.spark.range(1).select(*[value.alias(name) for name, value in columns.items()])
+
+
+# Fixed values in all of the following.
+
+
+def smoke_model(warehouse: Warehouse) -> DataFrame:
+    return _one_row(warehouse, id=F.lit(1), name=F.lit("test"), created_at=now(warehouse.params))
+
+
+def smoke_customers(warehouse: Warehouse) -> DataFrame:
+    return _one_row(
+        warehouse,
+        customer_id=F.lit(1),
+        customer_name=F.lit("Test Customer"),
+        email=F.lit("test@example.com"),
+        country_code=F.lit("US"),
+        created_at=now(warehouse.params),
+        processed_at=now(warehouse.params),
+    )
+
+
+def stg_test_model(warehouse: Warehouse) -> DataFrame:
+    return _one_row(warehouse, test_id=F.lit(1), test_name=F.lit("test_value"), created_at=now(warehouse.params))
+
+
+def dim_test_model(warehouse: Warehouse) -> DataFrame:
+    return warehouse.ref("stg_test_model").select("test_id", "test_name", "created_at")
+
+
+def fallback_customers(warehouse: Warehouse) -> DataFrame:
+    return _one_row(
+        warehouse,
+        customer_id=F.lit(1),
+        customer_name=F.lit("Fallback Customer"),
+        email=F.lit("fallback@example.com"),
+        country_code=F.lit("US"),
+        total_orders=F.lit(1),
+        total_spent=F.lit(Decimal("100.0")),
+        last_order_date=now(warehouse.params),
+        customer_segment=F.lit("VIP"),
+        processed_at=now(warehouse.params),
+    )
