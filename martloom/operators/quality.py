@@ -64,6 +64,11 @@ def negative_values(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column) < 0)
 
 
+def repeated(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Values in more than one row, with their number of rows; nulls do not collide."""
+    return require(df, *columns).groupBy(*columns).count().filter(F.col("count") > 1)
+
+
 # whole checks
 
 
@@ -92,9 +97,8 @@ def not_null(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def unique(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
-    """Violations are the values that occur more than once; nulls do not collide."""
-    repeated = require(df, *columns).groupBy(*columns).count().filter(F.col("count") > 1)
-    return count_violations(f"unique:{table}.{','.join(columns)}", repeated)
+    """Violations are the values that occur more than once."""
+    return count_violations(f"unique:{table}.{','.join(columns)}", repeated(df, columns))
 
 
 def references(

@@ -32,6 +32,6 @@ class Params:
 
     # A join key with at least this many rows on the many-side is spread over several tasks.
     hot_key_rows: int = 2_000_000
-    # Set only after `quality.unique` has passed for customers and orders: lets the models skip the
-    # steps that keep results right when an id occurs in several rows.
-    unique_ids: bool = False
+    # Whether customer and order ids occur once each. None: looked up before models that depend on it.
+    # True skips the look-up, for sources that have passed the uniqueness check already.
+    unique_ids: bool | None = None

@@ -152,8 +152,8 @@ def dim_customers_enriched(warehouse: Warehouse) -> DataFrame:
 
 def _orders_with_payments(warehouse: Warehouse) -> DataFrame:
     orders = warehouse.ref("stg_orders")
-    if warehouse.params.unique_ids:
-        return with_payments(parents(warehouse, orders, orders.columns), warehouse.ref("stg_payments"))
+    if warehouse.unique("stg_orders", "order_id"):
+        return with_payments(parents(warehouse, "stg_orders", orders.columns), warehouse.ref("stg_payments"))
     # Orders meet the roll-up again by id: rows sharing an id all see each other's payments.
     paid = warehouse.ref("int_order_payments").select(
         "order_id", "payment_count", "total_paid_amount", "payment_status", "distinct_payment_methods"

@@ -5,6 +5,7 @@ Orders (payments) are aggregated before the join, so the join sees one row per k
 
 An append-only lake may hold several rows for one id. The roll-up is then defined over the joined rows:
 equal parent rows count together. `copies` carries how many there are, instead of joining each of them.
+Whether ids repeat at all is looked up with one narrow aggregation; usually they do not.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ CUSTOMER = ["customer_id", "customer_name", "email", "country_code", "registered
 ORDER = ["order_id", "customer_id", "order_amount", "order_status", "ordered_at"]
 
 
-def parents(warehouse: Warehouse, rows: DataFrame, columns: list[str]) -> DataFrame:
-    """The parent rows with `copies`, the number of equal ones."""
-    if warehouse.params.unique_ids:
+def parents(warehouse: Warehouse, name: str, columns: list[str]) -> DataFrame:
+    """The rows of a staged dataset, whose id comes first, with `copies`, the number of equal ones."""
+    rows = warehouse.ref(name)
+    if warehouse.unique(name, columns[0]):
         return rows.select(*columns, F.lit(1).alias("copies"))
     return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
 
@@ -45,7 +47,7 @@ def int_customer_orders(warehouse: Warehouse) -> DataFrame:
         F.min("ordered_at").alias("first_order_date"),
         F.max("ordered_at").alias("last_order_date"),
     )
-    customers = parents(warehouse, warehouse.ref("stg_customers"), CUSTOMER)
+    customers = parents(warehouse, "stg_customers", CUSTOMER)
     return customers.join(per_customer, "customer_id", "left").select(
         *CUSTOMER,
         (F.coalesce("orders", F.lit(0)) * F.col("copies")).cast("bigint").alias("total_orders"),
@@ -81,5 +83,5 @@ def with_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def int_order_payments(warehouse: Warehouse) -> DataFrame:
-    orders = parents(warehouse, warehouse.ref("stg_orders"), ORDER)
+    orders = parents(warehouse, "stg_orders", ORDER)
     return with_payments(orders, warehouse.ref("stg_payments"))

@@ -237,7 +237,7 @@ def oracle_sql() -> dict[str, str]:
         "dim_customers": _sql(_doubles("dim_out", "total_spent")),
         "dim_customers_enriched": _sql(_doubles("dim_geo", "total_spent")),
         "fct_orders": _sql(fct),
-        "fct_orders_unique_ids": _sql(fct),
+        "fct_orders_any_ids": _sql(fct),
         "fct_daily_sales": _sql("""
 SELECT order_date, order_year, order_month, count(order_id) AS daily_orders,
     count(DISTINCT customer_id) AS daily_customers, CAST(sum(net_revenue) AS DOUBLE) AS daily_revenue,

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martloom.operators.joins import hot_keys
 from martloom.operators.sinks import overwrite_files
@@ -80,6 +81,7 @@ class Warehouse:
         self._sources = {"country_codes": country_codes, **sources}
         self._built: dict[str, DataFrame] = {}
         self._hot: dict[tuple[str, str], dict] = {}
+        self._unique: dict[tuple[str, str], bool] = {}
 
     def source(self, name: str) -> DataFrame:
         return self._sources[name](self.spark)
@@ -97,6 +99,15 @@ class Warehouse:
             self._built[name] = df
         return self._built[name]
 
+    def unique(self, name: str, key: str) -> bool:
+        """Whether a dataset has one row per key, as stated in the parameters or looked up once."""
+        if self.params.unique_ids is not None:
+            return self.params.unique_ids
+        if (name, key) not in self._unique:
+            counts = self.ref(name).groupBy(key).count()
+            self._unique[name, key] = counts.filter((F.col("count") > 1) | F.col(key).isNull()).count() == 0
+        return self._unique[name, key]
+
     def hot_keys(self, name: str, key: str) -> dict:
         """The heavy keys of a dataset, looked up once per warehouse."""
         if (name, key) not in self._hot:

@@ -249,7 +249,7 @@ def _captured(table: str, parse: Callable, feed: Callable, repeatable: bool) ->
 def queries() -> dict[str, Query]:
     return {
         **{name: _dataset(name) for name in DATASETS},
-        "fct_orders_unique_ids": _dataset("fct_orders", unique_ids=True),
+        "fct_orders_any_ids": _dataset("fct_orders", unique_ids=False),
         "start_date_cutoff": _dataset("stg_orders", start_date=LATE_START),
         "customer_metrics_early": _dataset("customer_metrics", as_of=EARLY_AS_OF),
         "country_lookup_unmatched": _of(country_lookup_unmatched),
