@@ -41,5 +41,4 @@ def from_epoch_micros(micros: Column) -> Column:
 
 def captured_time(text: Column) -> Column:
     """A time from a change record: epoch microseconds as digits, or an ISO string; null if neither."""
-    micros = F.when(text.rlike(r"^-?\d+$"), text.try_cast("bigint"))
-    return F.coalesce(from_epoch_micros(micros), text.try_cast("timestamp_ntz"))
+    return F.coalesce(from_epoch_micros(text.try_cast("bigint")), text.try_cast("timestamp_ntz"))

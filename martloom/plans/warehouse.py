@@ -79,12 +79,15 @@ class Warehouse:
         self.params = params
         self.root = root
         self._sources = {"country_codes": country_codes, **sources}
+        self._read: dict[str, DataFrame] = {}
         self._built: dict[str, DataFrame] = {}
         self._hot: dict[tuple[str, str], dict] = {}
         self._unique: dict[tuple[str, str], bool] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self._sources[name](self.spark)
+        if name not in self._read:
+            self._read[name] = self._sources[name](self.spark)
+        return self._read[name]
 
     def path(self, name: str) -> str:
         return f"{self.root}/{MODELS[name].layer}/{name}"

@@ -1,7 +1,8 @@
 """The warehouse's sources, derived from the sample tables (customer, orders, lineitem, events).
 
 customers, orders and payments are views of customer, orders and lineitem; the change feed is a view of
-events. Every row of a sample table becomes one source row.
+events. Every row of a sample table becomes one source row. Amounts are doubles, as in a lake that was loaded
+from files; staging turns them into decimals.
 """
 
 from __future__ import annotations
@@ -9,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martloom.functions.segments import first_match
 from martloom.functions.times import at
@@ -47,8 +50,14 @@ def _country(nation: Column) -> Column:
     return F.get(F.array(*[F.lit(code) for code in codes]), nation)
 
 
+@lru_cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def customers(customer: DataFrame) -> DataFrame:
@@ -70,7 +79,7 @@ def orders(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("customer_id"),
-        F.col("o_totalprice").cast(MONEY).alias("amount"),
+        F.col("o_totalprice").alias("amount"),
         _translate("o_orderstatus", ORDER_STATUS).alias("status"),
         F.col("o_orderdate").alias("created_at"),
         F.col("o_orderdate").alias("loaded_at"),
@@ -82,7 +91,7 @@ def payments(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
         F.col("l_orderkey").alias("order_id"),
-        F.col("l_extendedprice").cast(MONEY).alias("amount"),
+        F.col("l_extendedprice").alias("amount"),
         _translate("l_returnflag", PAYMENT_METHOD).alias("payment_method"),
         _translate("l_linestatus", PAYMENT_STATUS).alias("status"),
         F.col("l_shipdate").alias("created_at"),

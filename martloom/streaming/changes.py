@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martloom.functions.times import captured_time
 from martloom.schemas import CHANGE_ENVELOPE, CHANGE_ROW, MONEY
@@ -14,6 +15,27 @@ from martloom.schemas import CHANGE_ENVELOPE, CHANGE_ROW, MONEY
 # Created, updated, and read by the initial snapshot. Deletes are left out.
 KEPT_OPERATIONS = ("c", "u", "r")
 
+# The image before a change is part of the envelope but of no table, so it is not parsed.
+_READ = StructType([field for field in CHANGE_ENVELOPE if field.name != "before"])
+
+
+def _parsed(feed: DataFrame, schema: StructType, *others: Column) -> DataFrame:
+    return feed.select(
+        F.from_json(F.col("value").cast("string"), schema).alias("parsed"),
+        *others,
+        F.col("timestamp").alias("processed_at"),
+    )
+
+
+def _only(parsed: DataFrame, condition: Column) -> DataFrame:
+    """Rows that meet a condition on `parsed`.
+
+    A plain filter would be pushed below the projection and parse every value a second time; a list of
+    one or no element keeps the parsed value.
+    """
+    others = [name for name in parsed.columns if name != "parsed"]
+    return parsed.select(F.explode(F.when(condition, F.array("parsed"))).alias("parsed"), *others)
+
 
 def _row(record: str) -> list[Column]:
     converted = {
@@ -28,12 +50,12 @@ def parse_envelopes(feed: DataFrame) -> DataFrame:
 
     Unreadable values and empty ones have no operation and drop out with the deletes.
     """
-    changes = feed.select(
-        F.from_json(F.col("value").cast("string"), CHANGE_ENVELOPE).alias("change"),
-        F.col("timestamp").alias("processed_at"),
-    ).filter(F.col("change.op").isin(*KEPT_OPERATIONS))
-    return changes.select(
-        *_row("change.after"), F.col("change.source.table").alias("table"), F.col("change.op").alias("op"), "processed_at"
+    kept = _only(_parsed(feed, _READ), F.col("parsed.op").isin(*KEPT_OPERATIONS))
+    return kept.select(
+        *_row("parsed.after"),
+        F.col("parsed.source.table").alias("table"),
+        F.col("parsed.op").alias("op"),
+        "processed_at",
     )
 
 
@@ -43,9 +65,7 @@ def parse_records(feed: DataFrame) -> DataFrame:
     The connector leaves out deletes; their tombstones (null values) are skipped here, and so are values
     that cannot be read (they have no id).
     """
-    records = feed.filter(F.col("value").isNotNull()).select(
-        F.from_json(F.col("value").cast("string"), CHANGE_ROW).alias("record"),
-        F.element_at(F.split("topic", r"\."), -1).alias("table"),
-        F.col("timestamp").alias("processed_at"),
-    ).filter(F.col("record.id").isNotNull())
-    return records.select(*_row("record"), "table", "processed_at")
+    table = F.element_at(F.split("topic", r"\."), -1).alias("table")
+    records = _parsed(feed.filter(F.col("value").isNotNull()), CHANGE_ROW, table)
+    kept = _only(records, F.col("parsed.id").isNotNull())
+    return kept.select(*_row("parsed"), "table", "processed_at")

@@ -1,0 +1,86 @@
+"""The balanced join: same rows as a plain left join, hot keys spread over tasks."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from helpers import multiset
+from martloom.operators import joins
+from martloom.sources.reference import in_memory
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    # Key 0 owns a third of the left rows; key 1 is hot but has no match; key 2 matches twice.
+    left = spark.range(30_000).select(
+        F.col("id").alias("row"),
+        F.when(F.col("id") % 3 == 0, 0)
+        .when(F.col("id") % 10 == 1, 1)
+        .when(F.col("id") % 97 == 2, F.lit(None))
+        .otherwise(F.col("id") % 500)
+        .cast("long")
+        .alias("key"),
+    )
+    right = spark.range(400).filter("id != 1").select(F.col("id").alias("key"), F.concat(F.lit("v"), "id").alias("value"))
+    extra = in_memory(
+        spark, [(2, "again")], T.StructType([T.StructField("key", T.LongType()), T.StructField("value", T.StringType())])
+    )
+    return left, right.unionByName(extra)
+
+
+@pytest.mark.parametrize("hot_rows", [100, 1_000, 10**9])
+def test_equals_plain_join(tables, hot_rows):
+    left, right = tables
+    hot = joins.hot_keys(left, "key", hot_rows)
+    balanced = joins.balanced_left_join(left, right, "key", hot)
+    assert multiset(balanced) == multiset(left.join(right, "key", "left"))
+
+
+def test_hot_keys(tables):
+    left, _ = tables
+    assert joins.hot_keys(left, "key", 10**9) == {}
+    counts = {row[0]: row[1] for row in left.groupBy("key").count().collect()}
+    hot = joins.hot_keys(left, "key", 1_000)
+    assert set(hot) == {0, 1} and None not in hot
+    assert all(pieces == -(-counts[key] // 1_000) for key, pieces in hot.items())
+
+
+def test_the_list_of_hot_keys_is_bounded(tables, monkeypatch):
+    left, right = tables
+    monkeypatch.setattr(joins, "HOT_KEY_LIMIT", 1)
+    hot = joins.hot_keys(left, "key", 10)
+    assert list(hot) == [0]
+    balanced = joins.balanced_left_join(left, right, "key", hot)
+    assert multiset(balanced) == multiset(left.join(right, "key", "left"))
+
+
+def test_hot_rows_are_spread(spark, tables):
+    left, right = tables
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+
+        def largest_task(df):
+            return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+        hot = joins.hot_keys(left, "key", 200)
+        assert largest_task(left.join(right, "key", "left")) >= 10_000
+        assert largest_task(joins.balanced_left_join(left, right, "key", hot)) < 3_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_string_keys(spark):
+    left = spark.range(1_000).select("id", F.when(F.col("id") < 600, "hot").otherwise(F.col("id").cast("string")).alias("key"))
+    right = left.select("key").distinct().withColumn("value", F.length("key"))
+    balanced = joins.balanced_left_join(left, right, "key", joins.hot_keys(left, "key", 50))
+    assert multiset(balanced) == multiset(left.join(right, "key", "left"))
