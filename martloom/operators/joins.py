@@ -28,17 +28,19 @@ def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> dict[object, int]:
     return {row[0]: ceil(row[1] / hot_rows) for row in heaviest}
 
 
-def balanced_left_join(left: DataFrame, right: DataFrame, key: str, hot: dict[object, int]) -> DataFrame:
+def balanced_left_join(
+    left: DataFrame, right: DataFrame, key: str, hot: dict[object, int], spread_by: list[str]
+) -> DataFrame:
     """`left.join(right, key, "left")`, with the rows of every hot key spread over several join tasks.
 
-    Left rows of a hot key are dealt out by a hash of the whole row, which is the same on every attempt of
-    a task; the matching right rows are repeated once per piece. All other keys have one piece.
+    Left rows of a hot key are dealt out by a hash of the `spread_by` columns, which is the same on every
+    attempt of a task; the matching right rows are repeated once per piece. All other keys have one piece.
     """
     if not hot:
         return left.join(right, key, "left")
     schema = StructType([left.schema[key], StructField(_PIECES, IntegerType())])
     pieces_of = F.broadcast(in_memory(left.sparkSession, hot.items(), schema))
-    row_hash = F.xxhash64(*[F.col(name) for name in left.columns])
+    row_hash = F.xxhash64(*[F.col(name) for name in spread_by])
     pieces = F.col(_PIECES)
 
     dealt = left.join(pieces_of, key, "left").withColumn(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from datetime import timedelta
 from functools import reduce
 
@@ -17,6 +18,10 @@ class QualityError(Exception):
     """Raised by `require_passed` with the failed checks."""
 
 
+class QualityWarning(UserWarning):
+    """Issued by `require_passed` with severity "warn"."""
+
+
 def _result(name: str | Column, counted: DataFrame) -> DataFrame:
     label = F.lit(name) if isinstance(name, str) else name
     violations = F.coalesce(F.col("violations"), F.lit(0)).cast("bigint")
@@ -38,11 +43,20 @@ def only_failed(checks: DataFrame) -> DataFrame:
     return checks.filter(F.col("violations") > 0)
 
 
-def require_passed(checks: DataFrame) -> None:
-    """Stop with an error naming the failed checks (one row per check reaches the driver)."""
+def require_passed(checks: DataFrame, severity: str = "error") -> None:
+    """Stop with an error naming the failed checks, or with severity "warn" only warn about them.
+
+    One row per failed check reaches the driver. The rows behind a failure are a frame of their own (see
+    below) and can be stored with any sink.
+    """
     failed = only_failed(checks).collect()
-    if failed:
-        raise QualityError(", ".join(f"{row.check_name}: {row.violations}" for row in failed))
+    if not failed:
+        return
+    message = ", ".join(f"{row.check_name}: {row.violations}" for row in failed)
+    if severity == "warn":
+        warnings.warn(message, QualityWarning, stacklevel=2)
+    else:
+        raise QualityError(message)
 
 
 # rows that break a rule (keep them, or count them with `count_violations`)

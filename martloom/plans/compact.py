@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.times import now
 from martloom.operators.joins import balanced_left_join
+from martloom.plans.intermediate import ORDER
 
 if TYPE_CHECKING:
     from martloom.plans.warehouse import Warehouse
@@ -34,7 +35,11 @@ def compact_fct_orders(warehouse: Warehouse) -> DataFrame:
         "customer_id", "customer_name", "country_code", "customer_tier"
     )
     orders = balanced_left_join(
-        warehouse.ref("stg_orders"), customers, "customer_id", warehouse.hot_keys("stg_orders", "customer_id")
+        warehouse.ref("stg_orders"),
+        customers,
+        "customer_id",
+        warehouse.hot_keys("stg_orders", "customer_id"),
+        spread_by=ORDER,
     )
     return orders.select(
         "order_id",

@@ -25,7 +25,7 @@ from martloom.functions.segments import (
 )
 from martloom.functions.times import iso_weekday, now
 from martloom.operators.joins import balanced_left_join
-from martloom.plans.intermediate import parents, with_payments
+from martloom.plans.intermediate import ORDER, parents, with_payments
 
 if TYPE_CHECKING:
     from martloom.plans.warehouse import Warehouse
@@ -171,6 +171,7 @@ def fct_orders(warehouse: Warehouse) -> DataFrame:
         customers,
         "customer_id",
         warehouse.hot_keys("stg_orders", "customer_id"),
+        spread_by=ORDER,
     )
     return orders.withColumns(
         {
@@ -191,7 +192,9 @@ def fct_payments(warehouse: Warehouse) -> DataFrame:
     orders = warehouse.ref("fct_orders").select(
         "order_id", "customer_id", "customer_name", "customer_tier", "order_amount", "order_status"
     )
-    enriched = balanced_left_join(payments, orders, "order_id", warehouse.hot_keys("stg_payments", "order_id"))
+    enriched = balanced_left_join(
+        payments, orders, "order_id", warehouse.hot_keys("stg_payments", "order_id"), spread_by=payments.columns
+    )
     return enriched.withColumns(
         {
             "is_successful_payment": is_successful_payment(F.col("payment_status")),

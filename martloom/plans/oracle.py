@@ -7,7 +7,8 @@ group afterwards, for instance. Money is exchanged as double.
 from __future__ import annotations
 
 from martloom.functions.calendar import HOLIDAYS
-from martloom.plans.workload import EARLY_AS_OF, FLOORS, LATE_START
+from martloom.plans.checks import ROW_FLOORS
+from martloom.plans.workload import EARLY_AS_OF, LATE_START
 from martloom.sources.reference import COUNTRIES
 from martloom.sources.sample import SAMPLE_PARAMS
 
@@ -190,7 +191,7 @@ _FRESHNESS = _check(
 )
 _FLOORS = " UNION ALL ".join(
     _check(f"row_floor:{name}", f"SELECT greatest({floor} - count(*), 0) FROM {relation}")
-    for (name, floor), relation in zip(FLOORS.items(), ("t_customers", "dim_out", "fct"))
+    for (name, floor), relation in zip(ROW_FLOORS.items(), ("t_customers", "dim_out", "fct"))
 )
 _ALL_CHECKS = " UNION ALL ".join([_NOT_NULL, _UNIQUE, _REFERENCES, _NON_NEGATIVE, _INVALID_EMAILS, _FRESHNESS])
 
@@ -293,6 +294,9 @@ SELECT o.order_id, o.customer_id, d.customer_name, CAST(o.order_amount AS DOUBLE
     as_of AS processed_at
 FROM t_orders o CROSS JOIN params LEFT JOIN dim_out d ON d.customer_id = o.customer_id"""),
         "start_date_cutoff": _sql(_STG_ORDERS, start=LATE_START),
+        "country_codes_in_use": _sql(
+            "SELECT * FROM countries WHERE country_code IN (SELECT country_code FROM t_customers)"
+        ),
         "country_lookup_unmatched": _sql(
             "SELECT customer_id, country_code, continent_group, economic_tier FROM dim_geo WHERE country_name IS NULL"
         ),

@@ -15,6 +15,7 @@ from martloom import schemas
 from martloom.functions.cleaning import with_defaults
 from martloom.operators import quality, sinks
 from martloom.operators.scratch import fresh_folder
+from martloom.plans import checks
 from martloom.plans.warehouse import Warehouse
 from martloom.sources.sample import SAMPLE_PARAMS, envelope_feed, event_stream, events, record_feed, sample_sources
 from martloom.sources.tables import list_tables, preview, read_csv, read_files, read_table, row_counts
@@ -45,7 +46,6 @@ DATASETS = [
 # Cut-offs inside the sample's time span, so that both outcomes occur.
 LATE_START = datetime(1998, 1, 1)
 EARLY_AS_OF = datetime(1999, 1, 1)
-FLOORS = {"stg_customers": 100, "dim_customers": 100, "fct_orders": 500}
 
 
 def money_as_double(df: DataFrame) -> DataFrame:
@@ -75,6 +75,12 @@ def _of(build: Callable[[Warehouse], DataFrame], **params) -> Query:
 # selections from datasets
 
 
+def country_codes_in_use(w: Warehouse) -> DataFrame:
+    """The country table's rows that customers refer to."""
+    used = w.ref("stg_customers").select("country_code").distinct()
+    return used.join(w.ref("stg_country_codes"), "country_code")
+
+
 def country_lookup_unmatched(w: Warehouse) -> DataFrame:
     return (
         w.ref("dim_customers_enriched")
@@ -102,74 +108,20 @@ def rfm_counts(w: Warehouse) -> DataFrame:
 # quality
 
 
-def _sources(w: Warehouse) -> dict[str, DataFrame]:
-    return {name: w.source(name) for name in schemas.REQUIRED_COLUMNS}
-
-
-def dq_future_orders(w: Warehouse) -> DataFrame:
-    return quality.count_violations("future_orders", quality.future_rows(w.ref("fct_orders"), "ordered_at", w.params))
-
-
-def dq_revenue_mismatch(w: Warehouse) -> DataFrame:
-    return quality.count_violations("revenue_mismatch", quality.revenue_mismatches(w.ref("fct_orders")))
-
-
-def dq_invalid_emails(w: Warehouse) -> DataFrame:
-    return quality.count_violations("invalid_emails", quality.malformed_emails(w.ref("dim_customers")))
-
-
 def dq_invalid_email_rows(w: Warehouse) -> DataFrame:
     return quality.malformed_emails(w.ref("dim_customers")).select("customer_id", "email")
 
 
-def dq_freshness(w: Warehouse) -> DataFrame:
-    return quality.freshness("orders_freshness", w.source("orders"), "created_at", w.params)
-
-
-def dq_row_floors(w: Warehouse) -> DataFrame:
-    return quality.all_of(*[quality.row_floor(f"row_floor:{name}", w.ref(name), n) for name, n in FLOORS.items()])
-
-
-def dq_not_null(w: Warehouse) -> DataFrame:
-    return quality.all_of(
-        *[quality.not_null(name, df, schemas.REQUIRED_COLUMNS[name]) for name, df in _sources(w).items()]
-    )
-
-
-def dq_unique(w: Warehouse) -> DataFrame:
-    keys = [(table, columns) for table, columns in schemas.PRIMARY_KEYS.items()]
-    others = [(table, [column]) for table, columns in schemas.UNIQUE_COLUMNS.items() for column in columns]
-    return quality.all_of(*[quality.unique(table, w.source(table), columns) for table, columns in keys + others])
-
-
-def dq_referential(w: Warehouse) -> DataFrame:
-    return quality.all_of(
-        *[
-            quality.references(table, w.source(table), column, parent, w.source(parent), key)
-            for table, (column, parent, key) in schemas.FOREIGN_KEYS.items()
-        ]
-    )
-
-
-def dq_non_negative(w: Warehouse) -> DataFrame:
-    return quality.all_of(
-        *[
-            quality.non_negative(table, w.source(table), column)
-            for table, columns in schemas.NON_NEGATIVE_COLUMNS.items()
-            for column in columns
-        ]
-    )
-
-
 def dq_defaults(w: Warehouse) -> DataFrame:
     filled = with_defaults(w.source("customers"), schemas.DEFAULT_VALUES["customers"])
     return filled.select("id", F.upper(F.trim("country_code")).alias("country_code"))
 
 
 def dq_failed_checks(w: Warehouse) -> DataFrame:
-    """The failed ones among the source checks and the mart checks on customers."""
-    checks = (dq_not_null, dq_unique, dq_referential, dq_non_negative, dq_invalid_emails, dq_freshness)
-    return quality.only_failed(quality.all_of(*[check(w) for check in checks]))
+    """The failed ones among the source checks, the customers' emails and the freshness of orders."""
+    return quality.only_failed(
+        quality.all_of(checks.source_checks(w), checks.invalid_emails(w), checks.freshness(w))
+    )
 
 
 # sinks
@@ -252,19 +204,20 @@ def queries() -> dict[str, Query]:
         "fct_orders_any_ids": _dataset("fct_orders", unique_ids=False),
         "start_date_cutoff": _dataset("stg_orders", start_date=LATE_START),
         "customer_metrics_early": _dataset("customer_metrics", as_of=EARLY_AS_OF),
+        "country_codes_in_use": _of(country_codes_in_use),
         "country_lookup_unmatched": _of(country_lookup_unmatched),
         "orders_unpaid": _of(orders_unpaid),
         "rfm_counts": _of(rfm_counts),
-        "dq_future_orders": _of(dq_future_orders, as_of=EARLY_AS_OF),
-        "dq_revenue_mismatch": _of(dq_revenue_mismatch),
-        "dq_invalid_emails": _of(dq_invalid_emails),
+        "dq_future_orders": _of(checks.future_orders, as_of=EARLY_AS_OF),
+        "dq_revenue_mismatch": _of(checks.revenue_mismatch),
+        "dq_invalid_emails": _of(checks.invalid_emails),
         "dq_invalid_email_rows": _of(dq_invalid_email_rows),
-        "dq_freshness": _of(dq_freshness),
-        "dq_row_floors": _of(dq_row_floors),
-        "dq_not_null": _of(dq_not_null),
-        "dq_unique": _of(dq_unique),
-        "dq_referential": _of(dq_referential),
-        "dq_non_negative": _of(dq_non_negative),
+        "dq_freshness": _of(checks.freshness),
+        "dq_row_floors": _of(checks.row_floors),
+        "dq_not_null": _of(checks.not_null),
+        "dq_unique": _of(checks.unique),
+        "dq_referential": _of(checks.referential),
+        "dq_non_negative": _of(checks.non_negative),
         "dq_defaults": _of(dq_defaults),
         "dq_failed_checks": _of(dq_failed_checks),
         "cdc_parse": lambda spark, folder: money_as_double(parse_envelopes(envelope_feed(events(spark, folder)))),

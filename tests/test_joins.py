@@ -34,7 +34,7 @@ def tables(spark):
 def test_equals_plain_join(tables, hot_rows):
     left, right = tables
     hot = joins.hot_keys(left, "key", hot_rows)
-    balanced = joins.balanced_left_join(left, right, "key", hot)
+    balanced = joins.balanced_left_join(left, right, "key", hot, left.columns)
     assert multiset(balanced) == multiset(left.join(right, "key", "left"))
 
 
@@ -52,7 +52,7 @@ def test_the_list_of_hot_keys_is_bounded(tables, monkeypatch):
     monkeypatch.setattr(joins, "HOT_KEY_LIMIT", 1)
     hot = joins.hot_keys(left, "key", 10)
     assert list(hot) == [0]
-    balanced = joins.balanced_left_join(left, right, "key", hot)
+    balanced = joins.balanced_left_join(left, right, "key", hot, left.columns)
     assert multiset(balanced) == multiset(left.join(right, "key", "left"))
 
 
@@ -73,7 +73,7 @@ def test_hot_rows_are_spread(spark, tables):
 
         hot = joins.hot_keys(left, "key", 200)
         assert largest_task(left.join(right, "key", "left")) >= 10_000
-        assert largest_task(joins.balanced_left_join(left, right, "key", hot)) < 3_000
+        assert largest_task(joins.balanced_left_join(left, right, "key", hot, left.columns)) < 3_000
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
@@ -82,5 +82,5 @@ def test_hot_rows_are_spread(spark, tables):
 def test_string_keys(spark):
     left = spark.range(1_000).select("id", F.when(F.col("id") < 600, "hot").otherwise(F.col("id").cast("string")).alias("key"))
     right = left.select("key").distinct().withColumn("value", F.length("key"))
-    balanced = joins.balanced_left_join(left, right, "key", joins.hot_keys(left, "key", 50))
+    balanced = joins.balanced_left_join(left, right, "key", joins.hot_keys(left, "key", 50), ["id"])
     assert multiset(balanced) == multiset(left.join(right, "key", "left"))

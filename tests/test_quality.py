@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from helpers import AS_OF, PARAMS, customer, golden, order, rows
 from martloom.functions.cleaning import with_defaults
 from martloom.operators import quality
+from martloom.plans import checks
 from martloom.schemas import CUSTOMERS, DEFAULT_VALUES, ORDERS
 from martloom.sources.reference import in_memory
 
@@ -58,6 +59,8 @@ def test_floors_and_freshness_fail_on_golden_rows(spark):
     assert result(fresh) == ("orders", 1)
     with pytest.raises(quality.QualityError, match="fct_orders: 495"):
         quality.require_passed(floors)
+    with pytest.warns(quality.QualityWarning, match="stg_customers: 93"):
+        quality.require_passed(floors, severity="warn")
 
 
 @pytest.mark.parametrize(("age", "expected"), [(timedelta(hours=2), 0), (timedelta(hours=2, seconds=1), 1)])
@@ -135,3 +138,15 @@ def test_schema_of_results(spark):
         ("violations", T.LongType()),
         ("passed", T.BooleanType()),
     ]
+
+
+def test_suites_on_golden_rows(spark):
+    built = golden(spark)
+    assert quality.only_failed(checks.source_checks(built)).isEmpty()
+    assert quality.only_failed(checks.mart_checks(built)).isEmpty()
+    assert rows(quality.only_failed(checks.monitoring_checks(built)), "check_name", "violations") == [
+        ("orders_freshness", 1),
+        ("row_floor:dim_customers", 93),
+        ("row_floor:fct_orders", 495),
+        ("row_floor:stg_customers", 93),
+    ]
