@@ -52,14 +52,11 @@ def overwrite_table(df: DataFrame, table: str, order_by: Iterable[str] = (), fmt
 def sorted_by(df: DataFrame, order_by: Iterable[str]) -> DataFrame:
     """Rows range-partitioned and sorted by the key, so that scans can skip files and row groups.
 
-    A hash of the row is the second range key: one day or one country with very many rows is cut into
-    several ranges instead of ending up in one task.
+    End the key with a column that tells the rows of one day or one country apart: a value with very many
+    rows is then cut into several ranges instead of ending up in one task.
     """
     keys = list(order_by)
-    if not keys:
-        return df
-    spread = F.xxhash64(*[F.col(name) for name in df.columns])
-    return df.repartitionByRange(*keys, spread).sortWithinPartitions(*keys)
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
 
 
 def overwrite_files(df: DataFrame, path: str, order_by: Iterable[str] = (), fmt: str = "parquet") -> None:

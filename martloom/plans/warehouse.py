@@ -29,8 +29,8 @@ def _view(build: Callable, layer: str, *tags: str) -> Model:
     return Model(build, layer, tags=frozenset({layer, *tags}))
 
 
-def _mart(build: Callable, order_by: str | None, *tags: str) -> Model:
-    return Model(build, "analytics", (order_by,) if order_by else (), frozenset(tags), stored=True)
+def _mart(build: Callable, order_by: str, *tags: str) -> Model:
+    return Model(build, "analytics", tuple(order_by.split()), frozenset(tags), stored=True)
 
 
 MODELS: dict[str, Model] = {
@@ -44,20 +44,20 @@ MODELS: dict[str, Model] = {
     "dim_customers_enriched": _mart(
         core.dim_customers_enriched, "customer_id", "marts", "core", "customers", "enriched"
     ),
-    "fct_orders": _mart(core.fct_orders, "order_date", "marts", "core", "fact"),
+    "fct_orders": _mart(core.fct_orders, "order_date order_id", "marts", "core", "fact"),
     "fct_daily_sales": _mart(core.fct_daily_sales, "order_date", "marts", "core", "aggregated"),
-    "fct_payments": _mart(core.fct_payments, "payment_date", "marts", "core", "payments"),
+    "fct_payments": _mart(core.fct_payments, "payment_date payment_id", "marts", "core", "payments"),
     "customer_metrics": _mart(marketing.customer_metrics, "customer_id", "marts", "marketing", "metrics"),
     "customer_acquisition": _mart(marketing.customer_acquisition, "signup_date", "marts", "marketing", "acquisition"),
-    "customer_geography": _mart(marketing.customer_geography, "continent", "marts", "marketing", "geography"),
+    "customer_geography": _mart(marketing.customer_geography, "continent country_code", "marts", "marketing", "geography"),
     "dim_dates": _mart(core.dim_dates, "date", "calendar"),
     "compact_dim_customers": _mart(compact.compact_dim_customers, "customer_id", "compact"),
     "compact_fct_orders": _mart(compact.compact_fct_orders, "order_id", "compact"),
     "smoke_model": _view(smoke.smoke_model, "staging", "smoke"),
-    "smoke_customers": _mart(smoke.smoke_customers, None, "smoke"),
+    "smoke_customers": _mart(smoke.smoke_customers, "", "smoke"),
     "stg_test_model": _view(smoke.stg_test_model, "staging", "smoke"),
-    "dim_test_model": _mart(smoke.dim_test_model, None, "smoke"),
-    "fallback_customers": _mart(smoke.fallback_customers, None, "smoke"),
+    "dim_test_model": _mart(smoke.dim_test_model, "", "smoke"),
+    "fallback_customers": _mart(smoke.fallback_customers, "", "smoke"),
 }
 
 

@@ -135,7 +135,7 @@ def _by_day(spark: SparkSession, folder: str) -> DataFrame:
 
 def _sorted(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_folder(spark, "sorted")
-    sinks.overwrite_files(sample_warehouse(spark, folder).ref("stg_orders"), path, ["order_date"])
+    sinks.overwrite_files(sample_warehouse(spark, folder).ref("stg_orders"), path, ["order_date", "order_id"])
     return money_as_double(read_files(spark, path))
 
 

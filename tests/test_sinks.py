@@ -105,7 +105,7 @@ def test_sorted_files_have_narrow_ranges_even_for_one_heavy_day(spark, tmp_path)
     try:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         spark.conf.set("spark.sql.shuffle.partitions", "10")
-        sinks.overwrite_files(df, str(tmp_path), ["day"])
+        sinks.overwrite_files(df, str(tmp_path), ["day", "id"])
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
