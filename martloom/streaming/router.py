@@ -34,12 +34,14 @@ def write_batch(
     repeatable: every batch owns a folder and replaces it, so a replayed batch leaves the same rows.
     Otherwise rows are appended, at least once. In both forms an update adds a row version.
     """
-    kept = changes.persist()
+    kept = changes.filter(F.col("table").isin(*tables)).persist()
     try:
+        # One pass fills the cache and tells which tables the batch touches.
+        touched = {row.table for row in kept.select("table").distinct().collect()}
         for table, columns in tables.items():
-            rows = rows_of(kept, table, columns)
-            if rows.isEmpty():
+            if table not in touched:
                 continue
+            rows = rows_of(kept, table, columns)
             if repeatable:
                 write_by_day(rows, f"{table_path(root, table)}/{BATCH}={batch_id}", "created_at", mode="overwrite")
             else:
