@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martloom.functions.times import iso_weekday
 from martloom.schemas import DIM_DATES
 
-# The days marked as holidays in the reference calendar.
+# The days marked as holidays.
 HOLIDAYS = (
     date(2023, 1, 1),
     date(2023, 2, 14),

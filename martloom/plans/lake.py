@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,6 +86,14 @@ class Lake:
     def _next_id(self, table: str) -> int:
         return (self.table(table).agg(F.max("id")).first()[0] or 0) + 1
 
+    def sources(self) -> dict[str, Callable[[SparkSession], DataFrame]]:
+        """The tables as sources of a warehouse. They carry no load stamp; a row's own time stands in for it."""
+
+        def reader(table: str) -> Callable[[SparkSession], DataFrame]:
+            return lambda spark: read_table(spark, self.name(table)).withColumn("loaded_at", F.col("created_at"))
+
+        return {table: reader(table) for table in LAKE_TABLES}
+
     def counts(self) -> DataFrame:
         return row_counts({table: self.table(table) for table in LAKE_TABLES})
 

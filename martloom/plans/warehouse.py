@@ -83,6 +83,7 @@ class Warehouse:
         self._built: dict[str, DataFrame] = {}
         self._hot: dict[tuple[str, str], dict] = {}
         self._unique: dict[tuple[str, str], bool] = {}
+        self._rows: dict[str, int] = {}
 
     def source(self, name: str) -> DataFrame:
         if name not in self._read:
@@ -108,13 +109,19 @@ class Warehouse:
             return self.params.unique_ids
         if (name, key) not in self._unique:
             counts = self.ref(name).groupBy(key).count()
-            self._unique[name, key] = counts.filter((F.col("count") > 1) | F.col(key).isNull()).count() == 0
+            repeated = F.count_if((F.col("count") > 1) | F.col(key).isNull())
+            found = counts.agg(F.sum("count").alias("rows"), repeated.alias("repeated")).first()
+            self._rows[name] = found.rows or 0
+            self._unique[name, key] = found.repeated == 0
         return self._unique[name, key]
 
     def hot_keys(self, name: str, key: str) -> dict:
         """The heavy keys of a dataset, looked up once per warehouse."""
+        hot_rows = self.params.hot_key_rows
+        if self._rows.get(name, hot_rows) < hot_rows:
+            return {}
         if (name, key) not in self._hot:
-            self._hot[name, key] = hot_keys(self.ref(name), key, self.params.hot_key_rows)
+            self._hot[name, key] = hot_keys(self.ref(name), key, hot_rows)
         return self._hot[name, key]
 
     def run(self, tags: Iterable[str] = ("marts",)) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +14,8 @@ from martloom.schemas import CAPTURED
 BATCH = "batch_id"
 
 
-def rows_of(changes: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
-    return changes.filter(F.col("table") == table).select(*(columns or CAPTURED[table]))
+def rows_of(changes: DataFrame, table: str) -> DataFrame:
+    return changes.filter(F.col("table") == table).select(*CAPTURED[table])
 
 
 def table_path(root: str, table: str) -> str:
@@ -41,7 +41,7 @@ def write_batch(
         for table, columns in tables.items():
             if table not in touched:
                 continue
-            rows = rows_of(kept, table, columns)
+            rows = kept.filter(F.col("table") == table).select(*columns, F.col("processed_at").alias("loaded_at"))
             if repeatable:
                 write_by_day(rows, f"{table_path(root, table)}/{BATCH}={batch_id}", "created_at", mode="overwrite")
             else:
@@ -75,3 +75,12 @@ def start_capture(
 
 def read_captured(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(table_path(root, table)).select(*CAPTURED[table])
+
+
+def captured_sources(root: str) -> dict[str, Callable[[SparkSession], DataFrame]]:
+    """The captured tables as sources of a warehouse. Their load stamp is the time of the change event."""
+
+    def reader(table: str) -> Callable[[SparkSession], DataFrame]:
+        return lambda spark: spark.read.parquet(table_path(root, table)).select(*CAPTURED[table], "loaded_at")
+
+    return {table: reader(table) for table in CAPTURED}

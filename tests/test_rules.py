@@ -14,7 +14,7 @@ from martloom.functions import calendar, segments, times
 from martloom.schemas import DIM_DATES, MONEY, MONEY_SUM
 from martloom.sources.reference import in_memory
 
-# Rows of the reference calendar (date, weekday, day and month name, weekend, holiday,
+# Rows of the calendar (date, weekday, day and month name, weekend, holiday,
 # business day, week of year, season, quarter).
 CALENDAR = [
     (date(2023, 1, 1), 7, "Sunday", "January", True, True, False, 1, "Winter", 1),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from helpers import AS_OF, PARAMS, golden, multiset, order, rows
+from martloom import Warehouse
 from martloom.operators import scratch, sinks
 from martloom.plans.lake import Lake
 from martloom.schemas import COUNTRY_CODES, ORDERS
@@ -56,6 +57,12 @@ def test_demo_rows(spark, lake):
     assert tables.preview(orders).count() == 5
 
 
+def test_lake_tables_feed_the_warehouse(spark, lake):
+    lake.bootstrap(PARAMS)
+    totals = rows(Warehouse(spark, lake.sources(), PARAMS).ref("dim_customers"), "customer_id", "total_spent")
+    assert totals == [(1, D("151.25")), (2, D("0.00")), (3, D("0.00"))]
+
+
 def test_append_matches_columns_by_name(spark, lake):
     lake.bootstrap(PARAMS)
     shuffled = lake.table("orders").filter("id = 1").select("created_at", "status", "amount", "customer_id", "id")

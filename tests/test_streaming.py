@@ -9,9 +9,12 @@ from decimal import Decimal as D
 import pytest
 
 from helpers import multiset, rows
+from martloom import Params, Warehouse
+from martloom.operators import quality
+from martloom.plans import checks
 from martloom.sources.feeds import FEED_SCHEMA, file_feed
 from martloom.streaming.changes import parse_envelopes, parse_records
-from martloom.streaming.router import read_captured, rows_of, start_capture, write_batch
+from martloom.streaming.router import captured_sources, read_captured, rows_of, start_capture, write_batch
 
 STAMP = datetime(2024, 2, 1, 12)
 MICROS = 1_704_499_200_000_000  # 2024-01-06 00:00:00
@@ -150,3 +153,21 @@ def test_tables_are_partitioned_by_day(spark, tmp_path):
     plan = spark.read.parquet(str(tmp_path / "orders")).filter("dt = date'2024-01-07'")
     assert "PartitionFilters: [isnotnull(dt" in plan._jdf.queryExecution().executedPlan().toString()
     assert plan.count() == 1
+
+
+def test_captured_tables_feed_the_warehouse(spark, tmp_path):
+    """From change events to marts; an update is a second row version and is reported."""
+    write_feed(tmp_path / "feed", "1.json", ENVELOPES)
+    lake = str(tmp_path / "lake")
+    changes = parse_envelopes(file_feed(spark, str(tmp_path / "feed")))
+    start_capture(changes, lake, str(tmp_path / "progress")).awaitTermination()
+
+    shop = Warehouse(spark, captured_sources(lake), Params(as_of=STAMP))
+    assert rows(shop.ref("dim_customers"), "customer_name", "total_orders") == [("Ann", 2), ("Anna", 2)]
+    assert rows(shop.ref("int_order_payments"), "order_id", "payment_status") == [(1, "fully_paid"), (2, "unpaid")]
+    assert rows(quality.only_failed(checks.unique(shop)), "check_name") == [
+        ("unique:customers.email",),
+        ("unique:customers.id",),
+    ]
+    assert Warehouse(spark, captured_sources(lake), Params(start_date=STAMP)).ref("stg_orders").count() == 2
+    assert Warehouse(spark, captured_sources(lake), Params(start_date=datetime(2024, 2, 2))).ref("stg_orders").isEmpty()
