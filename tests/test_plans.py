@@ -1,0 +1,73 @@
+"""Shapes of plans that matter at scale."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from martloom.plans.workload import sample_warehouse
+
+SAMPLE = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Plans as for large tables: nothing is small enough to be broadcast."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield spark
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(text: str, table: str) -> int:
+    return len(re.findall(rf"FileScan parquet.*/{table}\.parquet", text))
+
+
+@pytest.mark.parametrize("hot_key_rows", [15, 2_000_000])
+def test_daily_sales_do_not_read_payments(shuffled, hot_key_rows):
+    text = plan(sample_warehouse(shuffled, SAMPLE, hot_key_rows=hot_key_rows).ref("fct_daily_sales"))
+    assert scans(text, "lineitem") == 0 and scans(text, "orders") == 2
+
+
+@pytest.mark.parametrize("hot_key_rows", [15, 2_000_000])
+def test_payments_are_read_once_for_the_payment_fact(shuffled, hot_key_rows):
+    text = plan(sample_warehouse(shuffled, SAMPLE, hot_key_rows=hot_key_rows).ref("fct_payments"))
+    assert scans(text, "lineitem") == 1
+
+
+def test_orders_are_shuffled_twice_for_the_order_fact(shuffled):
+    """Once by order, once by customer, besides the partially aggregated ones for the customer dimension."""
+    text = plan(sample_warehouse(shuffled, SAMPLE).ref("fct_orders"))
+    assert scans(text, "orders") == 2 and scans(text, "lineitem") == 1
+    assert text.count("Exchange hashpartitioning(") == 6
+
+
+def test_repeated_ids_take_the_longer_way(shuffled):
+    text = plan(sample_warehouse(shuffled, SAMPLE, unique_ids=False).ref("fct_orders"))
+    assert scans(text, "orders") == 3
+
+
+def test_filters_reach_the_scan(shuffled):
+    text = plan(sample_warehouse(shuffled, SAMPLE).ref("stg_orders"))
+    pushed = re.search(r"PushedFilters: \[(.*?)\.\.\.|PushedFilters: \[(.*?)\]", text).group(0)
+    assert "IsNotNull(o_orderdate)" in pushed and "GreaterThanOrEqual(o_orderdate" in text
+    assert "o_orderpriority" not in text
+
+
+def test_children_are_aggregated_before_they_are_joined(shuffled):
+    text = plan(sample_warehouse(shuffled, SAMPLE).ref("int_customer_orders"))
+    assert text.index("Join [customer_id") < text.index("partial_count")
+
+
+@pytest.mark.parametrize("name", ["dim_customers", "fct_orders", "fct_payments", "customer_geography"])
+def test_no_python_in_plans(shuffled, name):
+    text = plan(sample_warehouse(shuffled, SAMPLE, hot_key_rows=15).ref(name))
+    assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
