@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import imatch, licenses, mixing, urls
+from martloom.llm import imatch, langid, licenses, mixing, quality, toxicity, urls
 
 URL_RULES = [
     urls.Rule(True, "org", "/"),
@@ -55,6 +55,10 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(pages, URL_RULES, listed.select(F.concat("host", "path").alias("key")))
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.language_report(table(spark, folder, "documents"))
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(table(spark, folder, "documents"), SOURCE_WEIGHTS)
 
@@ -63,6 +67,14 @@ def op4_imatch(spark: SparkSession, folder: str) -> DataFrame:
     return imatch.imatch_report(table(spark, folder, "documents"))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_report(table(spark, folder, "documents"), LICENSES)
 
@@ -70,7 +82,10 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
+        "op2_language": op2_language,
         "op3_mixing": op3_mixing,
         "op4_imatch": op4_imatch,
+        "op5_quality": op5_quality,
+        "op6_toxicity": op6_toxicity,
         "op8_license_scan": op8_license_scan,
     }
