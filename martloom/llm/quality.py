@@ -18,7 +18,7 @@ from operator import eq
 from zlib import crc32
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,9 +136,7 @@ def grade(documents: DataFrame, model: dict, at_least: int) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def scored(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(shared.value)
         for texts in batches:
             yield pd.Series([scorer.score(t) for t in texts], dtype="float64")
