@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import imatch, langid, licenses, mixing, quality, toxicity, urls
+from martloom.llm import imatch, langid, licenses, mixing, ngram_join, quality, toxicity, urls
 
 URL_RULES = [
     urls.Rule(True, "org", "/"),
@@ -75,6 +75,10 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, folder, "documents"), n=4, percent=85)
+
+
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_report(table(spark, folder, "documents"), LICENSES)
 
@@ -87,5 +91,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_imatch": op4_imatch,
         "op5_quality": op5_quality,
         "op6_toxicity": op6_toxicity,
+        "op7_ngram_join": op7_ngram_join,
         "op8_license_scan": op8_license_scan,
     }
