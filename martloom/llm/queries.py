@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import imatch, langid, licenses, mixing, ngram_join, quality, toxicity, urls
+from martloom.llm import decontaminate, imatch, langid, licenses, mixing, ngram_join, quality, substrings, toxicity, urls
 
 URL_RULES = [
     urls.Rule(True, "org", "/"),
@@ -83,6 +83,14 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_report(table(spark, folder, "documents"), LICENSES)
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.substring_report(table(spark, folder, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leak_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -93,4 +101,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_toxicity": op6_toxicity,
         "op7_ngram_join": op7_ngram_join,
         "op8_license_scan": op8_license_scan,
+        "op9_substring_dedup": op9_substring_dedup,
+        "op10_decontamination": op10_decontamination,
     }
