@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.llm.storage import stored
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -57,7 +59,8 @@ def with_copies(documents: DataFrame, weights: list[int], share: float = 1.5, mo
     """documents (doc_id, text, source, ...) with size, source_size, target and copies, as one struct column `__mix`."""
     size = size_of(F.col("text"))
     sizes = documents.groupBy("source").agg(F.sum(size).alias("source_size"))
-    targets = source_targets(sizes, weights, share, most).select(
+    # one row per source; as a stored table its size is known, so Spark broadcasts it where it is small
+    targets = stored(source_targets(sizes, weights, share, most), "targets").select(
         F.col("source").alias("__source"), F.struct("source_size", "target").alias("__mix")
     )
     joined = documents.join(targets, documents["source"].eqNullSafe(targets["__source"]), "left").drop("__source")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from martloom.llm import decontaminate, imatch, langid, licenses, mixing, ngram_join, quality, substrings, toxicity, urls
 
 URL_RULES = [
@@ -91,6 +92,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leak_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -103,4 +108,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_decontamination": op10_decontamination,
+        "pipeline": pipeline,
     }

@@ -266,8 +266,8 @@ def without_repeats(documents: DataFrame, length: int = 35, shard: int = SHARD)
 
     The kept words are joined by one space; where nothing was removed the kept text is null.
     """
-    keyed = documents.withColumn("key", F.xxhash64("doc_id", "text"))
-    narrow = keyed.select("key", "doc_id", "text")
+    keyed = documents.withColumn("__key", F.xxhash64("doc_id", "text"))
+    narrow = keyed.select(F.col("__key").alias("key"), "doc_id", "text")
     spans = repeated_windows(narrow, length, shard)
 
     @F.arrow_udf("n_words long, n_removed long, text string")
@@ -285,10 +285,8 @@ def without_repeats(documents: DataFrame, length: int = 35, shard: int = SHARD)
                 out.append({"n_words": n, "n_removed": removed, "text": text})
         return pa.array(out, pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string())]))
 
-    if set(documents.columns) == {"doc_id", "text"}:
-        keyed = narrow
-    joined = keyed.join(spans.withColumnRenamed("key", "__key"), F.col("key") == F.col("__key"), "left")
-    return joined.withColumn("__kept", keep("text", "spans")).drop("key", "__key", "spans")
+    found = spans.select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
+    return keyed.join(found, "__key", "left").withColumn("__kept", keep("text", "__spans")).drop("__key", "__spans")
 
 
 def substring_report(documents: DataFrame, length: int = 35, shard: int = SHARD) -> DataFrame:
