@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
-SHARES = (1 / 2, 1 / 4, 1 / 8, 1 / 16) + (1 / 32,) * 4 + (1 / 64,) * 4 + (1 / 128,) * 4
+SHARES = (1 / 2, 1 / 8) + (1 / 32,) * 4 + (1 / 128,) * 4
 
 
 def terms_of(text: Column) -> Column:
@@ -34,32 +34,37 @@ def lexicon(documents: DataFrame, min_share: float, max_share: float) -> DataFra
     return counts.filter((F.col("df") >= min_share * n) & (F.col("df") <= max_share * n)).select("term")
 
 
-def _own_hash(terms: Column) -> Column:
-    return F.concat(F.lit("w"), F.hex(F.xxhash64(F.array_sort(terms))))
+#: What xxhash64 gives for an empty array: the mark of a lexicon without a term of the document.
+NO_TERM = 42
 
 
-def marks_of(terms: Column, own: Column, shares: tuple[float, ...]) -> Column:
-    """One hash per randomised lexicon, null where the document has no term of it; `own` where all would be null."""
-    ordered = F.array_sort(terms)
+def own_hash(terms: Column) -> Column:
+    return F.xxhash64(F.sort_array(terms))
 
-    def mark(k: int) -> Column:
-        kept = F.filter(ordered, lambda t: F.pmod(F.xxhash64(F.lit(k), t), F.lit(4096)) < int(shares[k] * 4096))
-        return F.when(F.size(kept) > 0, F.hex(F.xxhash64(kept)))
 
-    marks = F.array(*[mark(k) for k in range(len(shares))])
-    return F.when(F.exists(marks, lambda m: m.isNotNull()), marks).otherwise(F.array_repeat(own, len(shares)))
+def marks_of(ordered: Column, shares: tuple[float, ...]) -> Column:
+    """One hash per randomised lexicon: of its terms among the sorted distinct terms of a document."""
+    def kept(k: int, below: int) -> Column:
+        # twelve bits of the term's hash, others for every lexicon
+        return F.filter(ordered, lambda t: F.shiftright(t, 5 * k).bitwiseAND(4095) < below)
+
+    return F.array(*[F.xxhash64(kept(k, int(4096 * share))) for k, share in enumerate(shares)])
+
+
+def marks_or_own(marks: Column, own: Column) -> Column:
+    """The marks; where no lexicon has a term of the document, the hash of all its terms in their place."""
+    return F.when(F.forall(marks, lambda m: m == NO_TERM), F.transform(marks, lambda _: own)).otherwise(marks)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of the randomised lexicons, among those that mark either document, that mark both alike."""
-    pairs = F.arrays_zip(a.alias("a"), b.alias("b"))
-    equal = F.size(F.filter(pairs, lambda p: p["a"] == p["b"]))
-    either = F.size(F.filter(pairs, lambda p: p["a"].isNotNull() | p["b"].isNotNull()))
+    equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: (x == y) & (x != NO_TERM)), lambda e: e))
+    either = F.size(F.filter(F.zip_with(a, b, lambda x, y: (x != NO_TERM) | (y != NO_TERM)), lambda e: e))
     return equal.cast("double") / F.greatest(either, F.lit(1))
 
 
 def fingerprint_text(marks: Column) -> Column:
-    return F.concat_ws("-", F.transform(marks, lambda m: F.coalesce(m, F.lit("0"))))
+    return F.concat_ws("-", F.transform(marks, lambda m: F.hex(m)))
 
 
 def _splits(documents: DataFrame, n: int) -> list[int]:
@@ -103,6 +108,7 @@ def imatch_report(
 ) -> DataFrame:
     """Fingerprints of every document and of its edited text, whose second half is the start of the next document's."""
     documents = documents.select("doc_id", "text")
+    kind_of_id = documents.schema["doc_id"].dataType.simpleString()
     known = lexicon(documents, min_share, max_share).withColumn("known", F.lit(True))
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(
@@ -117,35 +123,34 @@ def imatch_report(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        _own_hash(F.col("terms")).alias("own"),
-        _own_hash(F.col("edited_terms")).alias("edited_own"),
+        own_hash(F.col("terms")).alias("own"),
+        own_hash(F.col("edited_terms")).alias("edited_own"),
     )
-    rows = rows.select("range", "row", "terms", "edited_terms", base.alias("base"))
+    nothing = F.lit(None).cast("struct<ahead:int,doc_id:%s,n_chars:bigint,edited_sha256:string,own:bigint,edited_own:bigint>" % kind_of_id)
 
     def items(terms: str, kind: int) -> Column:
-        return F.transform(F.col(terms), lambda t: F.struct(F.lit(kind).alias("kind"), F.xxhash64(t).alias("term")))
+        return F.transform(
+            F.col(terms), lambda t: F.struct(F.lit(kind).alias("kind"), F.xxhash64(t).alias("term"), nothing.alias("base"))
+        )
 
-    no_term = F.array(F.struct(F.lit(2).alias("kind"), F.lit(None).cast("long").alias("term")))
-    exploded = rows.select("range", "row", "base", F.explode(F.concat(items("terms", 0), items("edited_terms", 1), no_term)).alias("item"))
-    exploded = exploded.select(
-        "range", "row", F.col("item.kind").alias("kind"), F.col("item.term").alias("term"), F.when(F.col("item.kind") == 2, F.col("base")).alias("base")
-    )
+    of_document = F.array(F.struct(F.lit(2).alias("kind"), F.lit(None).cast("long").alias("term"), base.alias("base")))
+    exploded = rows.select("range", "row", F.explode(F.concat(items("terms", 0), items("edited_terms", 1), of_document)).alias("item"))
+    exploded = exploded.select("range", "row", "item.*")
     found = exploded.join(F.broadcast(known), "term", "left").filter(F.col("known") | (F.col("kind") == 2))
     # `range` is already what the rows are dealt by, so this needs no further shuffle.
-    marked = (
-        found.groupBy("range", "row")
-        .agg(
-            F.max("base").alias("base"),
-            F.collect_list(F.when(F.col("kind") == 0, F.col("term"))).alias("terms"),
-            F.collect_list(F.when(F.col("kind") == 1, F.col("term"))).alias("edited_terms"),
-        )
-        .select(
-            "range",
-            "row",
-            "base",
-            marks_of(F.col("terms"), F.col("base.own"), shares).alias("marks"),
-            marks_of(F.col("edited_terms"), F.col("base.edited_own"), shares).alias("edited_marks"),
-        )
+    gathered = found.groupBy("range", "row").agg(
+        F.max("base").alias("base"),
+        F.sort_array(F.collect_list(F.when(F.col("kind") == 0, F.col("term")))).alias("terms"),
+        F.sort_array(F.collect_list(F.when(F.col("kind") == 1, F.col("term")))).alias("edited_terms"),
+    )
+    marked = gathered.select(
+        "range", "row", "base", marks_of(F.col("terms"), shares).alias("marks"), marks_of(F.col("edited_terms"), shares).alias("edited_marks")
+    ).select(
+        "range",
+        "row",
+        "base",
+        marks_or_own(F.col("marks"), F.col("base.own")).alias("marks"),
+        marks_or_own(F.col("edited_marks"), F.col("base.edited_own")).alias("edited_marks"),
     )
     order = Window.partitionBy("range").orderBy("row")
     paired = marked.withColumn("next_marks", F.coalesce(F.lead("marks").over(order), F.first("marks").over(order)))

@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
+
+from compare import connect, difference  # noqa: E402
+from martloom.llm import mixing  # noqa: E402
+from martloom.llm.oracle import oracle_sql  # noqa: E402
+from martloom.llm.queries import queries  # noqa: E402
+
+SAMPLE = "/root/testdata/sf0.01"
+
+
+def test_sample(spark):
+    assert difference(queries()["op3_mixing"](spark, SAMPLE), connect(SAMPLE), oracle_sql()["op3_mixing"]) is None
+
+
+@pytest.mark.parametrize("sizes", [{"a": 100, "b": 10, "c": 10, "d": 1}, {"a": 1, "b": 1000, None: 5, "é": 70, "Z": 0}, {None: 7}, {"x": 0}])
+def test_targets(spark, sizes):
+    df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(df, [5, 2, 1], 1.5, 2.0).collect()}
+    assert got == pytest.approx(brute.targets(sizes, [5, 2, 1]))
+    assert sum(got.values()) == pytest.approx(1.5 * sum(sizes.values()))
+
+
+def test_defined_results_and_clashing_columns(spark):
+    rows = [(1, "a b c", "s"), (2, None, "s"), (3, "", None), (None, "x\x1cy z", None), (4, " \t\n", "t"), (1, "a b c", "s"), (5, "w " * 5000, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit("q")).withColumn("target", F.lit(0))
+    got = mixing.mix_report(docs, [5, 2, 1]).collect()
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len(brute.words(text))
+    target = brute.targets(sizes, [5, 2, 1])
+    expected = []
+    for doc_id, text, source in rows:
+        n = len(brute.words(text))
+        times = brute.copies(doc_id, n, sizes[source], target[source])
+        expected.append((doc_id, n, sizes[source], pytest.approx(target[source]), times, n * times))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted((tuple(r) for r in got), key=key) == sorted(expected, key=key)
+    mixed = mixing.mix_documents(docs, [5, 2, 1])
+    assert mixed.columns == docs.columns
+    assert mixed.count() == sum(e[4] for e in expected)
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, source string")
+    assert mixing.mix_report(docs, [5, 2, 1]).count() == 0
+
+
+def test_no_document_is_taken_more_than_twice_and_sources_reach_their_targets(spark):
+    got = queries()["op3_mixing"](spark, "/root/testdata/sf0.1")
+    assert got.filter("taken > 2 * size").count() == 0
+    total = got.agg(F.sum("taken"), F.sum("size")).first()
+    assert total[0] == pytest.approx(1.5 * total[1], rel=0.03)
