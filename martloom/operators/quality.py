@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from dataclasses import dataclass
 from datetime import timedelta
 from functools import reduce
 
@@ -110,6 +111,29 @@ def not_null(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
     return _result(F.concat(F.lit(f"not_null:{table}."), F.col("name")), per_column)
 
 
+@dataclass(frozen=True)
+class Fresh:
+    """A freshness rule: fails unless `moment` of some row lies within the last `within`."""
+
+    name: str
+    moment: str
+    within: timedelta = timedelta(hours=2)
+
+
+def row_checks(
+    table: str, df: DataFrame, required: list[str], non_negative: list[str], fresh: Fresh | None, params: Params
+) -> DataFrame:
+    """Not-null, non-negative and freshness results of a table, all from one pass over it."""
+    counts = {f"not_null:{table}.{c}": F.count_if(F.col(c).isNull()) for c in required}
+    counts |= {f"non_negative:{table}.{c}": F.count_if(F.col(c) < 0) for c in non_negative}
+    if fresh:
+        recent = F.count_if(F.col(fresh.moment) >= ago(params, fresh.within))
+        counts[fresh.name] = (recent == 0).cast("bigint")
+    results = F.array(*[F.struct(F.lit(name).alias("name"), n.cast("bigint").alias("violations")) for name, n in counts.items()])
+    one_row = df.agg(results.alias("results"))
+    return _result(F.col("name"), one_row.select(F.explode("results").alias("result")).select("result.*"))
+
+
 def unique(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
     """Violations are the values that occur more than once."""
     return count_violations(f"unique:{table}.{','.join(columns)}", repeated(df, columns))

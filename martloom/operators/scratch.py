@@ -1,4 +1,4 @@
-"""A fresh folder in the storage shared by driver and executors."""
+"""Fresh folders in the storage shared by driver and executors."""
 
 from __future__ import annotations
 
@@ -9,9 +9,16 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a local one only where none is set (tests)."""
+    """The folder the cluster names in spark.checkpoint.dir.
+
+    Only a local session, whose driver and executors are one process, may go without the setting.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (configured or tempfile.gettempdir()).rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.gettempdir()
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:

@@ -1,13 +1,16 @@
-"""Writing tables: catalog tables, folders partitioned by day, sorted marts, JDBC copies."""
+"""Writing tables: catalog tables, folders partitioned by day, versioned sorted marts, JDBC copies."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from martloom.operators.files import delete_folder, read_text, replace_text
+
 DAY = "dt"
 
 
@@ -59,8 +62,32 @@ def sorted_by(df: DataFrame, order_by: Iterable[str]) -> DataFrame:
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
 
 
-def overwrite_files(df: DataFrame, path: str, order_by: Iterable[str] = (), fmt: str = "parquet") -> None:
-    sorted_by(df, order_by).write.format(fmt).mode("overwrite").save(path)
+CURRENT = "_current"
+
+
+def publish_files(df: DataFrame, path: str, order_by: Iterable[str] = (), fmt: str = "parquet", ranged: bool = True) -> DataFrame:
+    """Write a new version of a table below `path`, switch to it, and read it back.
+
+    The old version stays readable until the new one is complete; a failed run leaves it in place. The version
+    before the last is deleted. ranged=False sorts a small table within its partitions, without a range shuffle.
+    """
+    spark, keys = df.sparkSession, list(order_by)
+    version, before = f"version={uuid.uuid4().hex}", read_text(spark, f"{path}/{CURRENT}")
+    rows = sorted_by(df, keys) if ranged else (df.coalesce(1).sortWithinPartitions(*keys) if keys else df)
+    rows.write.format(fmt).save(f"{path}/{version}")
+    kept = before.split("\n") if before else []
+    replace_text(spark, f"{path}/{CURRENT}", "\n".join([version, *kept[:1]]))
+    for old in kept[1:]:
+        delete_folder(spark, f"{path}/{old}")
+    return read_published(spark, path, fmt)
+
+
+def read_published(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The current version of a table written by publish_files."""
+    versions = read_text(spark, f"{path}/{CURRENT}")
+    if versions is None:
+        raise FileNotFoundError(f"nothing has been published in {path}")
+    return spark.read.format(fmt).load(f"{path}/{versions.split(chr(10))[0]}")
 
 
 def write_by_day(df: DataFrame, path: str, moment: str, mode: str = "append", fmt: str = "parquet") -> None:
@@ -78,20 +105,21 @@ def copy_to_jdbc(
     url: str,
     properties: Mapping[str, str],
     mode: str = "append",
-    connections: int = 16,
+    connections: int | None = None,
     batch_rows: int = 10_000,
 ) -> None:
-    """Copy whole tables to a database, executors writing in parallel over at most `connections` connections.
+    """Copy whole tables to a database, executors writing in parallel, one connection per task.
 
+    `connections` bounds how many there are at a time for a database that cannot bear more: rows are then dealt
+    over that many tasks (the scan and all before it keep their own).
     Like any JDBC append it adds the rows again when it is repeated, or when a task is retried after its
     commit; `mode="overwrite"` empties the target tables (keeping their definition) and is repeatable.
     """
     for name, df in tables.items():
-        writer = df.write.format("jdbc").mode(mode)
+        writer = (df.repartition(connections) if connections else df).write.format("jdbc").mode(mode)
         settings = {
             "url": url,
             "dbtable": name,
-            "numPartitions": connections,
             "batchsize": batch_rows,
             "truncate": "true",
             **properties,

@@ -30,8 +30,6 @@ class Params:
     monetary_high: Decimal = Decimal(1000)
     monetary_medium: Decimal = Decimal(500)
 
-    # A join key with at least this many rows on the many-side is spread over several tasks.
-    hot_key_rows: int = 2_000_000
-    # Whether customer and order ids occur once each. None: looked up before models that depend on it.
-    # True skips the look-up, for sources that have passed the uniqueness check already.
-    unique_ids: bool | None = None
+    # Whether customer and order ids occur once each: a property of the sources (the current state of captured
+    # tables, or tables that have passed the uniqueness check). False is right for any ids and costs more.
+    unique_ids: bool = False

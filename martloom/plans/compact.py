@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.times import now
-from martloom.operators.joins import balanced_left_join
-from martloom.plans.intermediate import ORDER
 
 if TYPE_CHECKING:
     from martloom.plans.warehouse import Warehouse
@@ -34,13 +32,7 @@ def compact_fct_orders(warehouse: Warehouse) -> DataFrame:
     customers = warehouse.ref("dim_customers_enriched").select(
         "customer_id", "customer_name", "country_code", "customer_tier"
     )
-    orders = balanced_left_join(
-        warehouse.ref("stg_orders"),
-        customers,
-        "customer_id",
-        warehouse.hot_keys("stg_orders", "customer_id"),
-        spread_by=ORDER,
-    )
+    orders = warehouse.ref("stg_orders").join(customers, "customer_id", "left")
     return orders.select(
         "order_id",
         "customer_id",

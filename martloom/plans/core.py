@@ -24,8 +24,7 @@ from martloom.functions.segments import (
     paid_amount,
 )
 from martloom.functions.times import iso_weekday, now
-from martloom.operators.joins import balanced_left_join
-from martloom.plans.intermediate import ORDER, parents, with_payments
+from martloom.plans.intermediate import parents, with_payments
 
 if TYPE_CHECKING:
     from martloom.plans.warehouse import Warehouse
@@ -152,7 +151,7 @@ def dim_customers_enriched(warehouse: Warehouse) -> DataFrame:
 
 def _orders_with_payments(warehouse: Warehouse) -> DataFrame:
     orders = warehouse.ref("stg_orders")
-    if warehouse.unique("stg_orders", "order_id"):
+    if warehouse.params.unique_ids:
         return with_payments(parents(warehouse, "stg_orders", orders.columns), warehouse.ref("stg_payments"))
     # Orders meet the roll-up again by id: rows sharing an id all see each other's payments.
     paid = warehouse.ref("int_order_payments").select(
@@ -166,13 +165,8 @@ def fct_orders(warehouse: Warehouse) -> DataFrame:
     customers = warehouse.ref("dim_customers").select(
         "customer_id", "customer_name", "customer_tier", "activity_status"
     )
-    orders = balanced_left_join(
-        _orders_with_payments(warehouse),
-        customers,
-        "customer_id",
-        warehouse.hot_keys("stg_orders", "customer_id"),
-        spread_by=ORDER,
-    )
+    # A customer with very many orders fills a partition of its own; adaptive execution splits it.
+    orders = _orders_with_payments(warehouse).join(customers, "customer_id", "left")
     return orders.withColumns(
         {
             "net_revenue": net_revenue(status, amount),
@@ -192,9 +186,7 @@ def fct_payments(warehouse: Warehouse) -> DataFrame:
     orders = warehouse.ref("fct_orders").select(
         "order_id", "customer_id", "customer_name", "customer_tier", "order_amount", "order_status"
     )
-    enriched = balanced_left_join(
-        payments, orders, "order_id", warehouse.hot_keys("stg_payments", "order_id"), spread_by=payments.columns
-    )
+    enriched = payments.join(orders, "order_id", "left")
     return enriched.withColumns(
         {
             "is_successful_payment": is_successful_payment(F.col("payment_status")),

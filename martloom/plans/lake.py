@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from martloom.functions.cleaning import money
 from martloom.functions.times import now
-from martloom.operators.sinks import append, append_if_empty, copy_to_jdbc, create_namespace, create_table
+from martloom.operators.sinks import append_if_empty, copy_to_jdbc, create_namespace, create_table
 from martloom.params import Params
 from martloom.schemas import CUSTOMERS, ORDERS
 from martloom.sources.tables import read_table, row_counts
@@ -26,10 +25,6 @@ FIRST_ORDERS = """
     (2, 2, 75.25, 'pending'),
     (3, 1, 50.75, 'completed')"""
 
-# What demo rows are drawn from.
-DEMO_COUNTRIES = ("US", "GB", "CA", "AU")
-DEMO_STATUSES = ("completed", "pending", "shipped")
-
 
 def _stored(schema: StructType) -> StructType:
     """A lake table's columns: the source's, without the load stamp."""
@@ -75,17 +70,6 @@ class Lake:
         append_if_empty(_typed(customers, "customers"), self.name("customers"))
         append_if_empty(_typed(orders, "orders"), self.name("orders"))
 
-    def append_demo(self, customers: int = 3, seed: int = 0, params: Params = Params()) -> None:
-        """Add demo customers with new ids, and up to two demo orders for each customer in the lake."""
-        for table, rows in (
-            ("customers", demo_customers(self.spark, self._next_id("customers"), customers, seed, params)),
-            ("orders", demo_orders(self.table("customers"), self._next_id("orders"), seed, params)),
-        ):
-            append(rows, self.name(table))
-
-    def _next_id(self, table: str) -> int:
-        return (self.table(table).agg(F.max("id")).first()[0] or 0) + 1
-
     def sources(self) -> dict[str, Callable[[SparkSession], DataFrame]]:
         """The tables as sources of a warehouse. They carry no load stamp; a row's own time stands in for it."""
 
@@ -100,43 +84,3 @@ class Lake:
     def copy_to(self, url: str, properties: Mapping[str, str], tables: Iterable[str] = tuple(LAKE_TABLES)) -> None:
         """Append the whole tables to a database reached over JDBC."""
         copy_to_jdbc({table: self.table(table) for table in tables}, url, properties)
-
-
-def _draw(values: Iterable[str], seed: int, *salt: str) -> F.Column:
-    choices = F.array(*[F.lit(value) for value in values])
-    return F.get(choices, _number(F.size(choices), seed, *salt))
-
-
-def _number(below: object, seed: int, *salt: str) -> F.Column:
-    """A pseudo-random number that depends on the row only, so a repeated task draws the same."""
-    return F.pmod(F.xxhash64(F.lit(seed), *salt), F.lit(below) if isinstance(below, int) else below).cast("int")
-
-
-def _days_before(params: Params, days: F.Column) -> F.Column:
-    return now(params) - F.make_dt_interval(days)
-
-
-def demo_customers(spark: SparkSession, first_id: int, count: int, seed: int, params: Params) -> DataFrame:
-    text = F.col("id").cast("string")
-    rows = spark.range(first_id, first_id + count).select(
-        "id",
-        F.concat(F.lit("Additional Customer "), text).alias("name"),
-        F.concat(F.lit("extra_customer"), text, F.lit("@test.com")).alias("email"),
-        _draw(DEMO_COUNTRIES, seed, "id").alias("country_code"),
-        _days_before(params, _number(50, seed + 1, "id") + 1).alias("created_at"),
-    )
-    return _typed(rows, "customers")
-
-
-def demo_orders(customers: DataFrame, first_id: int, seed: int, params: Params) -> DataFrame:
-    """None to two orders per customer, between 20 and 300, from the last two weeks."""
-    line = F.explode(F.slice(F.array(F.lit(0), F.lit(1)), F.lit(1), _number(3, seed, "id")))
-    cents = _number(28_001, seed + 1, "customer_id", "line") + 2_000
-    rows = customers.select(F.col("id").alias("customer_id"), line.alias("line")).select(
-        (F.lit(first_id) + F.col("customer_id") * 2 + F.col("line")).alias("id"),
-        "customer_id",
-        money(cents / 100).alias("amount"),
-        _draw(DEMO_STATUSES, seed + 2, "customer_id", "line").alias("status"),
-        _days_before(params, _number(16, seed + 3, "customer_id", "line")).alias("created_at"),
-    )
-    return _typed(rows, "orders")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from martloom.functions.calendar import HOLIDAYS
 from martloom.plans.checks import ROW_FLOORS
-from martloom.plans.workload import EARLY_AS_OF, LATE_START
+from martloom.plans.workload import CAPTURED_AS_OF, EARLY_AS_OF, HOLIDAY_SHIFT, LATE_START, SOME_DAYS
 from martloom.sources.reference import COUNTRIES
 from martloom.sources.sample import SAMPLE_PARAMS
 
@@ -17,13 +17,7 @@ _CODES = ", ".join(f"'{row[0]}'" for row in COUNTRIES)
 _HOLIDAYS = ", ".join(f"DATE '{day}'" for day in HOLIDAYS)
 
 
-def _ctes(as_of: object, start: object) -> str:
-    return f"""
-WITH params AS (SELECT TIMESTAMP '{as_of}' AS as_of, TIMESTAMP '{start}' AS start_date),
-countries(country_code, country_name, region, continent, iso_alpha3, currency_code, currency_name, phone_code,
-    gdp_category) AS (VALUES
-    {_COUNTRY_ROWS}),
-src_customers AS (
+_SAMPLE_SOURCES = f"""src_customers AS (
     SELECT c_custkey AS id, '  ' || c_name || ' ' AS name,
         ' ' || replace(c_name, '#', '.')
             || CASE WHEN c_mktsegment = 'MACHINERY' THEN '@Localhost ' ELSE '@Example.com ' END AS email,
@@ -43,7 +37,55 @@ src_payments AS (
             AS payment_method,
         CASE l_linestatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' END AS status,
         l_shipdate AS created_at, l_shipdate AS loaded_at
-    FROM lineitem),
+    FROM lineitem),"""
+
+# Orders in two versions, without customer, below zero, without status; payments of missing orders.
+_AWKWARD_SOURCES = (
+    _SAMPLE_SOURCES.replace("src_orders AS", "plain_orders AS").replace("src_payments AS", "plain_payments AS")
+    + """
+two_versions AS (
+    SELECT * FROM plain_orders
+    UNION ALL SELECT * REPLACE (amount + 1 AS amount, 'shipped' AS status) FROM plain_orders WHERE id % 5 = 0),
+src_orders AS (
+    SELECT * REPLACE (CASE WHEN id % 7 = 0 THEN customer_id + 1000000 ELSE customer_id END AS customer_id,
+        CAST(CASE WHEN id % 11 = 0 THEN -amount ELSE amount END AS DECIMAL(10, 2)) AS amount,
+        CASE WHEN id % 13 <> 0 THEN status END AS status)
+    FROM two_versions),
+src_payments AS (
+    SELECT * REPLACE (CASE WHEN order_id % 9 = 0 THEN order_id + 100000000 ELSE order_id END AS order_id)
+    FROM plain_payments),"""
+)
+
+# The newest version of every captured row that has not been deleted.
+_CAPTURED_SOURCES = """
+versions AS (
+    SELECT user_id, ts, event_type, CAST(value AS DECIMAL(10, 2)) AS amount,
+        ['customers', 'orders', 'payments'][user_id % 3 + 1] AS tab,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
+    FROM events WHERE event_type <> 'click'),
+newest AS (
+    SELECT *, CASE event_type WHEN 'purchase' THEN 'completed' ELSE event_type END AS status
+    FROM versions WHERE place = 1 AND event_type <> 'error'),
+src_customers AS (
+    SELECT user_id AS id, 'User ' || user_id AS name, 'user.' || user_id || '@example.com' AS email,
+        'US' AS country_code, ts AS created_at, ts AS loaded_at
+    FROM newest WHERE tab = 'customers'),
+src_orders AS (
+    SELECT user_id AS id, user_id - 1 AS customer_id, amount, status, ts AS created_at, ts AS loaded_at
+    FROM newest WHERE tab = 'orders'),
+src_payments AS (
+    SELECT user_id AS id, user_id - 1 AS order_id, amount, 'credit_card' AS payment_method, status,
+        ts AS created_at, ts AS loaded_at
+    FROM newest WHERE tab = 'payments'),"""
+
+
+def _ctes(as_of: object, start: object, sources: str) -> str:
+    return f"""
+WITH params AS (SELECT TIMESTAMP '{as_of}' AS as_of, TIMESTAMP '{start}' AS start_date),
+countries(country_code, country_name, region, continent, iso_alpha3, currency_code, currency_name, phone_code,
+    gdp_category) AS (VALUES
+    {_COUNTRY_ROWS}),
+{sources}
 t_customers AS (
     SELECT id AS customer_id, trim(name) AS customer_name, lower(trim(email)) AS email,
         upper(trim(country_code)) AS country_code, created_at AS registered_at,
@@ -128,9 +170,12 @@ cdc AS (
 
 
 def _sql(
-    select: str, as_of: object = SAMPLE_PARAMS.as_of, start: object = SAMPLE_PARAMS.start_date
+    select: str,
+    as_of: object = SAMPLE_PARAMS.as_of,
+    start: object = SAMPLE_PARAMS.start_date,
+    sources: str = _SAMPLE_SOURCES,
 ) -> str:
-    return _ctes(as_of, start) + select
+    return _ctes(as_of, start, sources) + select
 
 
 def _doubles(relation: str, *money: str) -> str:
@@ -206,6 +251,7 @@ SELECT d AS date, CAST(day(d) AS INTEGER) AS day, CAST(month(d) AS INTEGER) AS m
     CAST(year(d) AS INTEGER) AS fiscal_year, CAST(quarter(d) AS INTEGER) AS fiscal_quarter
 FROM (SELECT CAST(unnest(generate_series(CAST(min(order_date) AS TIMESTAMP), CAST(max(order_date) AS TIMESTAMP),
     INTERVAL 1 DAY)) AS DATE) AS d FROM t_orders)"""
+_REVENUE_MISMATCHES = "SELECT count(*) FROM fct WHERE order_status = 'completed' AND net_revenue <> order_amount"
 
 _CAPTURED = {
     "customers": "event_id AS id, 'User ' || user_id AS name, 'user.' || user_id || '@example.com' AS email, "
@@ -217,10 +263,33 @@ _CAPTURED = {
 _PARSED = (
     "event_id AS id, 'User ' || user_id AS name, 'user.' || user_id || '@example.com' AS email, "
     "'US' AS country_code, user_id AS customer_id, user_id AS order_id, amount, 'credit_card' AS payment_method, "
-    'event_type AS status, ts AS created_at, tab AS "table", ts AS processed_at'
+    'event_type AS status, ts AS created_at, tab AS "table", ts AS processed_at, CAST(0 AS BIGINT) AS sequence'
 )
 
 
+_FCT_PAYMENTS = """
+SELECT p.payment_id, p.order_id, f.customer_id, f.customer_name, f.customer_tier,
+    CAST(p.payment_amount AS DOUBLE) AS payment_amount, p.payment_method, p.payment_status,
+    CAST(f.order_amount AS DOUBLE) AS order_amount, f.order_status, p.paid_at, p.payment_date,
+    CASE p.payment_status WHEN 'completed' THEN 1 ELSE 0 END AS is_successful_payment,
+    p.loaded_at AS source_loaded_at, as_of AS dbt_loaded_at
+FROM t_payments p CROSS JOIN params LEFT JOIN fct f ON f.order_id = p.order_id"""
+_GEOGRAPHY = """
+SELECT continent, continent_group, region, country_code, country_name, economic_tier,
+    count(customer_id) AS total_customers, count(customer_id) FILTER (WHERE total_orders > 0) AS active_customers,
+    CAST(sum(total_spent) AS DOUBLE) AS total_revenue,
+    CAST(sum(total_spent) AS DOUBLE) / count(*) AS avg_customer_value,
+    CAST(sum(total_orders) AS DOUBLE) / count(*) AS avg_orders_per_customer,
+    CAST(coalesce(sum(total_spent) FILTER (WHERE customer_tier = 'VIP'), 0) AS DOUBLE) AS vip_revenue,
+    count(customer_id) FILTER (WHERE customer_tier = 'VIP') AS vip_customers,
+    round(count(customer_id) FILTER (WHERE total_orders > 0) * CAST(100 AS DOUBLE) / count(customer_id), 2)
+        AS activation_rate_percent,
+    round(count(customer_id) FILTER (WHERE customer_tier = 'VIP') * CAST(100 AS DOUBLE) / count(customer_id), 2)
+        AS vip_rate_percent,
+    max(dbt_loaded_at) AS dbt_loaded_at
+FROM dim_geo GROUP BY continent, continent_group, region, country_code, country_name, economic_tier"""
+
+
 def _captured(table: str) -> str:
     return _sql(f"SELECT {_CAPTURED[table]} FROM cdc WHERE tab = '{table}'")
 
@@ -247,13 +316,7 @@ SELECT order_date, order_year, order_month, count(order_id) AS daily_orders,
     CAST(sum(CASE WHEN customer_tier = 'Premium' THEN net_revenue ELSE 0 END) AS DOUBLE) AS premium_revenue,
     max(dbt_loaded_at) AS dbt_loaded_at
 FROM fct WHERE order_status = 'completed' GROUP BY order_date, order_year, order_month"""),
-        "fct_payments": _sql("""
-SELECT p.payment_id, p.order_id, f.customer_id, f.customer_name, f.customer_tier,
-    CAST(p.payment_amount AS DOUBLE) AS payment_amount, p.payment_method, p.payment_status,
-    CAST(f.order_amount AS DOUBLE) AS order_amount, f.order_status, p.paid_at, p.payment_date,
-    CASE p.payment_status WHEN 'completed' THEN 1 ELSE 0 END AS is_successful_payment,
-    p.loaded_at AS source_loaded_at, as_of AS dbt_loaded_at
-FROM t_payments p CROSS JOIN params LEFT JOIN fct f ON f.order_id = p.order_id"""),
+        "fct_payments": _sql(_FCT_PAYMENTS),
         "customer_metrics": _sql(_METRICS),
         "customer_metrics_early": _sql(_METRICS, as_of=EARLY_AS_OF),
         "customer_acquisition": _sql("""
@@ -268,20 +331,7 @@ SELECT signup_date, CAST(year(signup_date) AS INTEGER) AS signup_year,
         AS activation_rate_percent,
     max(dbt_loaded_at) AS dbt_loaded_at
 FROM dim_out GROUP BY signup_date"""),
-        "customer_geography": _sql("""
-SELECT continent, continent_group, region, country_code, country_name, economic_tier,
-    count(customer_id) AS total_customers, count(customer_id) FILTER (WHERE total_orders > 0) AS active_customers,
-    CAST(sum(total_spent) AS DOUBLE) AS total_revenue,
-    CAST(sum(total_spent) AS DOUBLE) / count(*) AS avg_customer_value,
-    CAST(sum(total_orders) AS DOUBLE) / count(*) AS avg_orders_per_customer,
-    CAST(coalesce(sum(total_spent) FILTER (WHERE customer_tier = 'VIP'), 0) AS DOUBLE) AS vip_revenue,
-    count(customer_id) FILTER (WHERE customer_tier = 'VIP') AS vip_customers,
-    round(count(customer_id) FILTER (WHERE total_orders > 0) * CAST(100 AS DOUBLE) / count(customer_id), 2)
-        AS activation_rate_percent,
-    round(count(customer_id) FILTER (WHERE customer_tier = 'VIP') * CAST(100 AS DOUBLE) / count(customer_id), 2)
-        AS vip_rate_percent,
-    max(dbt_loaded_at) AS dbt_loaded_at
-FROM dim_geo GROUP BY continent, continent_group, region, country_code, country_name, economic_tier"""),
+        "customer_geography": _sql(_GEOGRAPHY),
         "dim_dates": _sql(_DATES),
         "csv_roundtrip": _sql(_DATES),
         "compact_dim_customers": _sql("""
@@ -311,10 +361,7 @@ FROM orders_paid WHERE payment_status = 'unpaid'"""),
             _check("future_orders", "SELECT count(*) FROM fct, params WHERE ordered_at > as_of"), as_of=EARLY_AS_OF
         ),
         "dq_revenue_mismatch": _sql(
-            _check(
-                "revenue_mismatch",
-                "SELECT count(*) FROM fct WHERE order_status = 'completed' AND net_revenue <> order_amount",
-            )
+            _check("revenue_mismatch", _REVENUE_MISMATCHES)
         ),
         "dq_invalid_emails": _sql(_INVALID_EMAILS),
         "dq_invalid_email_rows": _sql(f"SELECT customer_id, email {_INVALID}"),
@@ -344,11 +391,47 @@ SELECT table_name, row_count FROM (
     UNION ALL SELECT 'fct_payments', (SELECT count(*) FROM t_payments p LEFT JOIN fct f ON f.order_id = p.order_id)
     UNION ALL SELECT 'customer_metrics', (SELECT count(*) FROM dim_out)
     UNION ALL SELECT 'customer_acquisition', (SELECT count(DISTINCT signup_date) FROM dim_out)
-    UNION ALL SELECT 'customer_geography', (SELECT count(*) FROM (SELECT DISTINCT country_code FROM dim_geo)))"""),
+    UNION ALL SELECT 'customer_geography', (SELECT count(*) FROM (SELECT DISTINCT country_code FROM dim_geo))
+    UNION ALL SELECT 'dim_dates', (SELECT max(order_date) - min(order_date) + 1 FROM t_orders)
+    UNION ALL SELECT 'compact_dim_customers', (SELECT count(*) FROM dim_out)
+    UNION ALL SELECT 'compact_fct_orders', (SELECT count(*) FROM fct))"""),
         "append_twice": _sql(
             "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM (TABLE src_orders UNION ALL TABLE src_orders)"
         ),
         "seed_if_empty": _sql("SELECT * FROM src_customers"),
+        "preview": _sql(
+            "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM src_orders ORDER BY id NULLS LAST LIMIT 5"
+        ),
+        "cdc_parse_odd_times": _sql("SELECT event_id AS id, CASE WHEN event_id % 4 IN (0, 2) THEN ts END AS created_at FROM events"),
+        "cdc_stream_two_runs": _captured("orders"),
+        "current_orders": _sql(_doubles("src_orders", "amount"), sources=_CAPTURED_SOURCES),
+        "captured_fct_orders": _sql(fct, as_of=CAPTURED_AS_OF, sources=_CAPTURED_SOURCES),
+        "captured_orders_of_days": _captured("orders")
+        + f" AND ts >= TIMESTAMP '{SOME_DAYS[0]}' AND ts < TIMESTAMP '{SOME_DAYS[1]}'",
+        "stored_fct_payments": _sql(_FCT_PAYMENTS),
+        "stored_customer_geography": _sql(_GEOGRAPHY),
+        "fct_orders_repeated_ids": _sql(fct, sources=_AWKWARD_SOURCES),
+        "fct_payments_orphans": _sql(_FCT_PAYMENTS, sources=_AWKWARD_SOURCES),
+        "dq_non_negative_violated": _sql(_NON_NEGATIVE, sources=_AWKWARD_SOURCES),
+        "dq_not_null_violated": _sql(_NOT_NULL, sources=_AWKWARD_SOURCES),
+        "dq_unique_violated": _sql(_UNIQUE, sources=_AWKWARD_SOURCES),
+        "dq_referential_violated": _sql(_REFERENCES, sources=_AWKWARD_SOURCES),
+        "dq_revenue_mismatch_violated": _sql(
+            _check(
+                "revenue_mismatch",
+                "SELECT count(*) FROM fct WHERE order_status = 'completed'"
+                " AND net_revenue + CASE WHEN order_id % 17 = 0 THEN 1 ELSE 0 END <> order_amount",
+            )
+        ),
+        "status_defaults": _sql(
+            "SELECT id, customer_id, CAST(amount AS DOUBLE) AS amount, coalesce(status, 'pending') AS status FROM src_orders",
+            sources=_AWKWARD_SOURCES,
+        ),
+        "dim_dates_holidays": _sql(
+            _DATES.replace("min(order_date)", f"min(order_date) + {HOLIDAY_SHIFT}").replace(
+                "max(order_date)", f"max(order_date) + {HOLIDAY_SHIFT}"
+            )
+        ),
         "table_counts": _sql("""
 SELECT 'customers' AS table_name, count(*) AS row_count FROM src_customers
 UNION ALL SELECT 'orders', count(*) FROM src_orders"""),

@@ -6,12 +6,11 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from martloom.operators.joins import hot_keys
-from martloom.operators.sinks import overwrite_files
+from martloom.operators import quality
+from martloom.operators.sinks import publish_files
 from martloom.params import Params
-from martloom.plans import compact, core, intermediate, marketing, smoke, staging
+from martloom.plans import checks, compact, core, intermediate, marketing, staging
 from martloom.sources.reference import country_codes
 from martloom.sources.tables import row_counts
 
@@ -23,14 +22,16 @@ class Model:
     order_by: tuple[str, ...] = ()
     tags: frozenset[str] = frozenset()
     stored: bool = False
+    # a roll-up with few rows, which are sorted without a range shuffle
+    small: bool = False
 
 
 def _view(build: Callable, layer: str, *tags: str) -> Model:
     return Model(build, layer, tags=frozenset({layer, *tags}))
 
 
-def _mart(build: Callable, order_by: str, *tags: str) -> Model:
-    return Model(build, "analytics", tuple(order_by.split()), frozenset(tags), stored=True)
+def _mart(build: Callable, order_by: str, *tags: str, small: bool = False) -> Model:
+    return Model(build, "analytics", tuple(order_by.split()), frozenset(tags), stored=True, small=small)
 
 
 MODELS: dict[str, Model] = {
@@ -45,19 +46,18 @@ MODELS: dict[str, Model] = {
         core.dim_customers_enriched, "customer_id", "marts", "core", "customers", "enriched"
     ),
     "fct_orders": _mart(core.fct_orders, "order_date order_id", "marts", "core", "fact"),
-    "fct_daily_sales": _mart(core.fct_daily_sales, "order_date", "marts", "core", "aggregated"),
+    "fct_daily_sales": _mart(core.fct_daily_sales, "order_date", "marts", "core", "aggregated", small=True),
     "fct_payments": _mart(core.fct_payments, "payment_date payment_id", "marts", "core", "payments"),
     "customer_metrics": _mart(marketing.customer_metrics, "customer_id", "marts", "marketing", "metrics"),
-    "customer_acquisition": _mart(marketing.customer_acquisition, "signup_date", "marts", "marketing", "acquisition"),
-    "customer_geography": _mart(marketing.customer_geography, "continent country_code", "marts", "marketing", "geography"),
-    "dim_dates": _mart(core.dim_dates, "date", "calendar"),
-    "compact_dim_customers": _mart(compact.compact_dim_customers, "customer_id", "compact"),
-    "compact_fct_orders": _mart(compact.compact_fct_orders, "order_id", "compact"),
-    "smoke_model": _view(smoke.smoke_model, "staging", "smoke"),
-    "smoke_customers": _mart(smoke.smoke_customers, "", "smoke"),
-    "stg_test_model": _view(smoke.stg_test_model, "staging", "smoke"),
-    "dim_test_model": _mart(smoke.dim_test_model, "", "smoke"),
-    "fallback_customers": _mart(smoke.fallback_customers, "", "smoke"),
+    "customer_acquisition": _mart(
+        marketing.customer_acquisition, "signup_date", "marts", "marketing", "acquisition", small=True
+    ),
+    "customer_geography": _mart(
+        marketing.customer_geography, "continent country_code", "marts", "marketing", "geography", small=True
+    ),
+    "dim_dates": _mart(core.dim_dates, "date", "marts", "calendar", small=True),
+    "compact_dim_customers": _mart(compact.compact_dim_customers, "customer_id", "marts", "compact"),
+    "compact_fct_orders": _mart(compact.compact_fct_orders, "order_id", "marts", "compact"),
 }
 
 
@@ -65,7 +65,7 @@ class Warehouse:
     """Datasets by name over a set of named sources.
 
     `ref` composes a dataset lazily. With a `root` folder (storage all executors reach), marts are written
-    there first and read back: every mart is computed once, and later ones start from files.
+    there first and read back: every mart is computed once, and later ones start from files. `fmt` is a file format.
     """
 
     def __init__(
@@ -74,16 +74,15 @@ class Warehouse:
         sources: Mapping[str, Callable[[SparkSession], DataFrame]],
         params: Params = Params(),
         root: str | None = None,
+        fmt: str = "parquet",
     ):
         self.spark = spark
         self.params = params
         self.root = root
+        self.fmt = fmt
         self._sources = {"country_codes": country_codes, **sources}
         self._read: dict[str, DataFrame] = {}
         self._built: dict[str, DataFrame] = {}
-        self._hot: dict[tuple[str, str], dict] = {}
-        self._unique: dict[tuple[str, str], bool] = {}
-        self._rows: dict[str, int] = {}
 
     def source(self, name: str) -> DataFrame:
         if name not in self._read:
@@ -98,35 +97,18 @@ class Warehouse:
             model = MODELS[name]
             df = model.build(self)
             if self.root and model.stored:
-                overwrite_files(df, self.path(name), model.order_by)
-                df = self.spark.read.parquet(self.path(name))
+                df = publish_files(df, self.path(name), model.order_by, self.fmt, ranged=not model.small)
             self._built[name] = df
         return self._built[name]
 
-    def unique(self, name: str, key: str) -> bool:
-        """Whether a dataset has one row per key, as stated in the parameters or looked up once."""
-        if self.params.unique_ids is not None:
-            return self.params.unique_ids
-        if (name, key) not in self._unique:
-            counts = self.ref(name).groupBy(key).count()
-            repeated = F.count_if((F.col("count") > 1) | F.col(key).isNull())
-            found = counts.agg(F.sum("count").alias("rows"), repeated.alias("repeated")).first()
-            self._rows[name] = found.rows or 0
-            self._unique[name, key] = found.repeated == 0
-        return self._unique[name, key]
-
-    def hot_keys(self, name: str, key: str) -> dict:
-        """The heavy keys of a dataset, looked up once per warehouse."""
-        hot_rows = self.params.hot_key_rows
-        if self._rows.get(name, hot_rows) < hot_rows:
-            return {}
-        if (name, key) not in self._hot:
-            self._hot[name, key] = hot_keys(self.ref(name), key, hot_rows)
-        return self._hot[name, key]
-
-    def run(self, tags: Iterable[str] = ("marts",)) -> DataFrame:
-        """Build every dataset with one of the tags; returns their row counts."""
+    def run(self, tags: Iterable[str] = ("marts",), gate: str | None = None) -> DataFrame:
+        """Build every dataset with one of the tags; returns their row counts.
+
+        gate: "error" stops before any mart is built if an id is not unique, "warn" only says so.
+        """
         wanted = set(tags)
+        if gate:
+            quality.require_passed(checks.unique_ids(self), gate)
         return row_counts({name: self.ref(name) for name, model in MODELS.items() if model.tags & wanted})
 
     def expose(self, *names: str) -> None:

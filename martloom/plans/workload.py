@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 from datetime import datetime
 from uuid import uuid4
@@ -12,15 +13,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from martloom import schemas
+from martloom.functions.calendar import date_range, with_calendar
 from martloom.functions.cleaning import with_defaults
 from martloom.operators import quality, sinks
 from martloom.operators.scratch import fresh_folder
 from martloom.plans import checks
 from martloom.plans.warehouse import Warehouse
-from martloom.sources.sample import SAMPLE_PARAMS, envelope_feed, event_stream, events, record_feed, sample_sources
+from martloom.sources.sample import (
+    SAMPLE_PARAMS,
+    awkward_sources,
+    envelope_feed,
+    event_stream,
+    events,
+    odd_times_feed,
+    record_feed,
+    sample_sources,
+    versioned_feed,
+)
 from martloom.sources.tables import list_tables, preview, read_csv, read_files, read_table, row_counts
 from martloom.streaming.changes import parse_envelopes, parse_records
-from martloom.streaming.router import read_captured, start_capture
+from martloom.streaming.router import captured_between, captured_sources, read_captured, read_current, start_capture
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +58,11 @@ DATASETS = [
 # Cut-offs inside the sample's time span, so that both outcomes occur.
 LATE_START = datetime(1998, 1, 1)
 EARLY_AS_OF = datetime(1999, 1, 1)
+# The end of the sample's events, and days within them.
+CAPTURED_AS_OF = datetime(2024, 2, 1)
+SOME_DAYS = (datetime(2024, 1, 10, 6), datetime(2024, 1, 13))
+# Moves the sample's years over those that have holidays.
+HOLIDAY_SHIFT = 8401
 
 
 def money_as_double(df: DataFrame) -> DataFrame:
@@ -64,6 +81,14 @@ def sample_warehouse(spark: SparkSession, folder: str, root: str | None = None,
     return Warehouse(spark, sample_sources(folder), replace(SAMPLE_PARAMS, **params), root)
 
 
+def awkward_warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    return Warehouse(spark, awkward_sources(folder), replace(SAMPLE_PARAMS, unique_ids=False))
+
+
+def _awkward(build: Callable[[Warehouse], DataFrame]) -> Query:
+    return lambda spark, folder: money_as_double(build(awkward_warehouse(spark, folder)))
+
+
 def _dataset(name: str, **params) -> Query:
     return lambda spark, folder: money_as_double(sample_warehouse(spark, folder, **params).ref(name))
 
@@ -119,9 +144,25 @@ def dq_defaults(w: Warehouse) -> DataFrame:
 
 def dq_failed_checks(w: Warehouse) -> DataFrame:
     """The failed ones among the source checks, the customers' emails and the freshness of orders."""
-    return quality.only_failed(
-        quality.all_of(checks.source_checks(w), checks.invalid_emails(w), checks.freshness(w))
-    )
+    return quality.only_failed(quality.all_of(checks.source_checks(w, fresh=True), checks.invalid_emails(w)))
+
+
+def dq_revenue_mismatch_violated(w: Warehouse) -> DataFrame:
+    """A stored fact may differ from its rule: here the revenue of some orders has been changed."""
+    changed = F.when(F.col("order_id") % 17 == 0, F.col("net_revenue") + 1).otherwise(F.col("net_revenue"))
+    stored = w.ref("fct_orders").withColumn("net_revenue", changed)
+    return quality.count_violations("revenue_mismatch", quality.revenue_mismatches(stored))
+
+
+def status_defaults(w: Warehouse) -> DataFrame:
+    return with_defaults(w.source("orders"), schemas.DEFAULT_VALUES["orders"]).select("id", "customer_id", "amount", "status")
+
+
+def dim_dates_holidays(w: Warehouse) -> DataFrame:
+    """The calendar over the days of the orders, moved to years with holidays."""
+    moved = F.date_add("order_date", HOLIDAY_SHIFT)
+    bounds = w.ref("stg_orders").agg(F.min(moved).alias("first"), F.max(moved).alias("last"))
+    return with_calendar(date_range(bounds, "first", "last"))
 
 
 # sinks
@@ -135,48 +176,64 @@ def _by_day(spark: SparkSession, folder: str) -> DataFrame:
 
 def _sorted(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_folder(spark, "sorted")
-    sinks.overwrite_files(sample_warehouse(spark, folder).ref("stg_orders"), path, ["order_date", "order_id"])
-    return money_as_double(read_files(spark, path))
+    orders = sample_warehouse(spark, folder).ref("stg_orders")
+    return money_as_double(sinks.publish_files(orders, path, ["order_date", "order_id"]))
 
 
 def _stored_marts(spark: SparkSession, folder: str) -> DataFrame:
     """All marts written in dependency order; their row counts."""
-    return sample_warehouse(spark, folder, root=fresh_folder(spark, "marts")).run()
+    return sample_warehouse(spark, folder, root=fresh_folder(spark, "marts")).run(gate="error")
+
+
+def _stored(name: str) -> Query:
+    """The contents of a mart as they were written and read back."""
+    return lambda spark, folder: money_as_double(sample_warehouse(spark, folder, root=fresh_folder(spark, "marts")).ref(name))
 
 
-def _lake(spark: SparkSession) -> str:
-    """A new namespace in the shared folder with empty customers and orders tables."""
+@contextmanager
+def _lake(spark: SparkSession) -> Iterator[str]:
+    """A namespace in the shared folder with empty customers and orders tables, dropped after use."""
     namespace = f"lake_{uuid4().hex}"
     sinks.create_namespace(spark, namespace, fresh_folder(spark, "lake"))
-    sinks.create_table(spark, f"{namespace}.customers", schemas.CUSTOMERS)
-    sinks.create_table(spark, f"{namespace}.orders", schemas.ORDERS)
-    return namespace
+    try:
+        sinks.create_table(spark, f"{namespace}.customers", schemas.CUSTOMERS)
+        sinks.create_table(spark, f"{namespace}.orders", schemas.ORDERS)
+        yield namespace
+    finally:
+        spark.sql(f"DROP DATABASE {namespace} CASCADE")
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """The rows as files of their own, which outlive the tables they came from."""
+    path = fresh_folder(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return read_files(df.sparkSession, path)
 
 
 def _append_twice(spark: SparkSession, folder: str) -> DataFrame:
-    table = f"{_lake(spark)}.orders"
     orders = sample_warehouse(spark, folder).source("orders")
-    sinks.append(orders, table)
-    sinks.append(orders, table)
-    return money_as_double(read_table(spark, table))
+    with _lake(spark) as lake:
+        sinks.append(orders, f"{lake}.orders")
+        sinks.append(orders, f"{lake}.orders")
+        return _kept(money_as_double(read_table(spark, f"{lake}.orders")))
 
 
 def _seed_if_empty(spark: SparkSession, folder: str) -> DataFrame:
-    table = f"{_lake(spark)}.customers"
     customers = sample_warehouse(spark, folder).source("customers")
-    sinks.append_if_empty(customers, table)
-    sinks.append_if_empty(customers, table)
-    return read_table(spark, table)
+    with _lake(spark) as lake:
+        sinks.append_if_empty(customers, f"{lake}.customers")
+        sinks.append_if_empty(customers, f"{lake}.customers")
+        return _kept(read_table(spark, f"{lake}.customers"))
 
 
 def _table_counts(spark: SparkSession, folder: str) -> DataFrame:
     """List the tables of a filled namespace and count their rows."""
-    namespace = _lake(spark)
     warehouse = sample_warehouse(spark, folder)
-    for table in ("customers", "orders"):
-        sinks.append(warehouse.source(table), f"{namespace}.{table}")
-    names = [row.tableName for row in list_tables(spark, namespace).collect()]
-    return row_counts({name: read_table(spark, f"{namespace}.{name}") for name in names})
+    with _lake(spark) as lake:
+        for table in ("customers", "orders"):
+            sinks.append(warehouse.source(table), f"{lake}.{table}")
+        names = [row.tableName for row in list_tables(spark, lake).collect()]
+        return _kept(row_counts({name: read_table(spark, f"{lake}.{name}") for name in names}))
 
 
 def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -198,6 +255,39 @@ def _captured(table: str, parse: Callable, feed: Callable, repeatable: bool) ->
     return query
 
 
+def _capture_versions(spark: SparkSession, folder: str) -> str:
+    root = fresh_folder(spark, "capture")
+    changes = parse_envelopes(versioned_feed(event_stream(spark, folder)), deletes=True)
+    start_capture(changes, f"{root}/lake", f"{root}/progress").awaitTermination()
+    return f"{root}/lake"
+
+
+def _current_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return money_as_double(read_current(spark, _capture_versions(spark, folder), "orders"))
+
+
+def _captured_fct_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """From change events to the order fact: one row per order, however many versions were captured."""
+    sources = captured_sources(_capture_versions(spark, folder))
+    return money_as_double(Warehouse(spark, sources, replace(SAMPLE_PARAMS, as_of=CAPTURED_AS_OF)).ref("fct_orders"))
+
+
+def _two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams with progress folders of their own write to one lake."""
+    root = fresh_folder(spark, "capture")
+    for run in range(2):
+        some = event_stream(spark, folder).filter(F.col("event_id") % 2 == run)
+        start_capture(parse_envelopes(envelope_feed(some)), f"{root}/lake", f"{root}/progress-{run}").awaitTermination()
+    return money_as_double(read_captured(spark, f"{root}/lake", "orders"))
+
+
+def _orders_of_days(spark: SparkSession, folder: str) -> DataFrame:
+    root = fresh_folder(spark, "capture")
+    changes = parse_envelopes(envelope_feed(event_stream(spark, folder)))
+    start_capture(changes, f"{root}/lake", f"{root}/progress").awaitTermination()
+    return money_as_double(captured_between(spark, f"{root}/lake", "orders", *SOME_DAYS))
+
+
 def queries() -> dict[str, Query]:
     return {
         **{name: _dataset(name) for name in DATASETS},
@@ -232,5 +322,21 @@ def queries() -> dict[str, Query]:
         "seed_if_empty": _seed_if_empty,
         "table_counts": _table_counts,
         "csv_roundtrip": _csv_roundtrip,
-        "preview": _of(lambda w: preview(w.source("orders"))),
+        "preview": _of(lambda w: preview(w.source("orders"), "id")),
+        "cdc_parse_odd_times": lambda spark, folder: parse_records(odd_times_feed(events(spark, folder))).select("id", "created_at"),
+        "cdc_stream_two_runs": _two_runs,
+        "current_orders": _current_orders,
+        "captured_fct_orders": _captured_fct_orders,
+        "captured_orders_of_days": _orders_of_days,
+        "stored_fct_payments": _stored("fct_payments"),
+        "stored_customer_geography": _stored("customer_geography"),
+        "fct_orders_repeated_ids": _awkward(lambda w: w.ref("fct_orders")),
+        "fct_payments_orphans": _awkward(lambda w: w.ref("fct_payments")),
+        "dq_non_negative_violated": _awkward(checks.non_negative),
+        "dq_not_null_violated": _awkward(checks.not_null),
+        "dq_unique_violated": _awkward(checks.unique),
+        "dq_referential_violated": _awkward(checks.referential),
+        "dq_revenue_mismatch_violated": _of(dq_revenue_mismatch_violated),
+        "status_defaults": _awkward(status_defaults),
+        "dim_dates_holidays": _of(dim_dates_holidays),
     }

@@ -5,6 +5,7 @@ Source timestamps carry no zone, so they are TIMESTAMP_NTZ: results do not depen
 
 from pyspark.sql import types as T
 
+# The column names and types below are the sources' contract.
 MONEY = T.DecimalType(10, 2)
 # Wide enough for any sum of MONEY values.
 MONEY_SUM = T.DecimalType(38, 2)

@@ -31,6 +31,8 @@ SAMPLE_PARAMS = Params(
     tier_regular=Decimal(100_000),
     monetary_high=Decimal(1_000_000),
     monetary_medium=Decimal(500_000),
+    # the sample's keys are primary keys
+    unique_ids=True,
 )
 
 ORDER_STATUS = {"F": "completed", "O": "pending", "P": "shipped"}
@@ -107,6 +109,28 @@ def sample_sources(folder: str) -> dict[str, Callable[[SparkSession], DataFrame]
     }
 
 
+def awkward_sources(folder: str) -> dict[str, Callable[[SparkSession], DataFrame]]:
+    """The sample with what it lacks: orders in two versions, without customer, below zero and without status, and
+    payments of orders that are not there. Every rule is a remainder of the id."""
+
+    def second_version(df: DataFrame) -> DataFrame:
+        again = df.filter(F.col("id") % 5 == 0).withColumns({"amount": F.col("amount") + 1, "status": F.lit("shipped")})
+        return df.unionByName(again)
+
+    def awkward_orders(spark: SparkSession) -> DataFrame:
+        rows = second_version(orders(_table(spark, folder, "orders")))
+        strangers = F.when(F.col("id") % 7 == 0, F.col("customer_id") + 1_000_000).otherwise(F.col("customer_id"))
+        negative = F.when(F.col("id") % 11 == 0, -F.col("amount")).otherwise(F.col("amount"))
+        unset = F.when(F.col("id") % 13 != 0, F.col("status"))
+        return rows.withColumns({"customer_id": strangers, "amount": negative, "status": unset})
+
+    def awkward_payments(spark: SparkSession) -> DataFrame:
+        missing = F.when(F.col("order_id") % 9 == 0, F.col("order_id") + 100_000_000).otherwise(F.col("order_id"))
+        return payments(_table(spark, folder, "lineitem")).withColumn("order_id", missing)
+
+    return sample_sources(folder) | {"orders": awkward_orders, "payments": awkward_payments}
+
+
 def events(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "events")
 
@@ -161,6 +185,42 @@ def envelope_feed(events: DataFrame) -> DataFrame:
     )
 
 
+def versioned_feed(events: DataFrame) -> DataFrame:
+    """Changes in which one id has many versions: a user is a customer, an order of the customer before, or a payment
+    of the order before. Errors delete; clicks are empty values. Has offsets, as brokers do."""
+    user = F.col("user_id")
+    row = _captured_row(_micros(F.col("ts"))).withField("id", user)
+    row = row.withField("customer_id", user - 1).withField("order_id", user - 1)
+    row = row.withField("status", F.when(F.col("event_type") == "purchase", "completed").otherwise(F.col("event_type")))
+    operation = _translate("event_type", OPERATION)
+    envelope = F.struct(
+        F.when(operation.isin("u", "d"), row).alias("before"),
+        F.when(operation != "d", row).alias("after"),
+        F.struct(_source_table().alias("table")).alias("source"),
+        operation.alias("op"),
+    )
+    return events.select(
+        user.cast("string").alias("key"),
+        F.when(operation.isNotNull(), F.to_json(envelope)).alias("value"),
+        F.concat(F.lit("shop.public."), _source_table()).alias("topic"),
+        F.col("ts").alias("timestamp"),
+        F.col("event_id").alias("offset"),
+    )
+
+
+def odd_times_feed(events: DataFrame) -> DataFrame:
+    """Flattened records whose times are, in turn, microseconds, nanoseconds, text and no time at all."""
+    micros = _micros(F.col("ts"))
+    written = F.array(micros.cast("string"), (micros * 1000).cast("string"), F.col("ts").cast("string"), F.lit("soon"))
+    row = _captured_row(F.get(written, (F.col("event_id") % 4).cast("int")))
+    return events.select(
+        F.col("event_id").cast("string").alias("key"),
+        F.to_json(row).alias("value"),
+        F.concat(F.lit("shop.public."), _source_table()).alias("topic"),
+        F.col("ts").alias("timestamp"),
+    )
+
+
 def record_feed(events: DataFrame) -> DataFrame:
     """The flattened form of the same changes; deletes have become tombstones."""
     operation = _translate("event_type", OPERATION)

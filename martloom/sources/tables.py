@@ -27,8 +27,9 @@ def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {namespace}").filter(~F.col("isTemporary")).select("namespace", "tableName")
 
 
-def preview(df: DataFrame, rows: int = 5) -> DataFrame:
-    return df.limit(rows)
+def preview(df: DataFrame, key: str, rows: int = 5) -> DataFrame:
+    """The first rows by key; each task keeps its first ones, so nothing is sorted whole."""
+    return df.orderBy(F.col(key).asc_nulls_last()).limit(rows)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,29 +1,34 @@
 """Parsing of change events. The same functions serve batch frames and streams.
 
-Input columns are those of a feed: key, value (JSON), topic, timestamp.
+Input columns are those of a feed: key, value (JSON), topic, timestamp and possibly offset. `sequence` is the offset, or 0
+where the feed has none; together with `processed_at` it orders the versions of a row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType
 
-from martloom.functions.times import captured_time
+from martloom.functions.times import captured_time, utc
 from martloom.schemas import CHANGE_ENVELOPE, CHANGE_ROW, MONEY
 
-# Created, updated, and read by the initial snapshot. Deletes are left out.
+# Created, updated, and read by the initial snapshot; deleted.
 KEPT_OPERATIONS = ("c", "u", "r")
+DELETED = "d"
 
-# The image before a change is part of the envelope but of no table, so it is not parsed.
-_READ = StructType([field for field in CHANGE_ENVELOPE if field.name != "before"])
+# The image before a change is parsed only where deletes are asked for: a delete has no other row.
+_WITHOUT_BEFORE = StructType([field for field in CHANGE_ENVELOPE if field.name != "before"])
 
 
 def _parsed(feed: DataFrame, schema: StructType, *others: Column) -> DataFrame:
+    stamp = F.col("timestamp")
+    zoneless = isinstance(feed.schema["timestamp"].dataType, TimestampNTZType)
     return feed.select(
         F.from_json(F.col("value").cast("string"), schema).alias("parsed"),
         *others,
-        F.col("timestamp").alias("processed_at"),
+        (stamp if zoneless else utc(stamp)).alias("processed_at"),
+        (F.col("offset") if "offset" in feed.columns else F.lit(0)).cast("bigint").alias("sequence"),
     )
 
 
@@ -37,25 +42,31 @@ def _only(parsed: DataFrame, condition: Column) -> DataFrame:
     return parsed.select(F.explode(F.when(condition, F.array("parsed"))).alias("parsed"), *others)
 
 
-def _row(record: str) -> list[Column]:
+def _row(record: Column) -> list[Column]:
     converted = {
-        "amount": F.col(f"{record}.amount").try_cast(MONEY),
-        "created_at": captured_time(F.col(f"{record}.created_at")),
+        "amount": record["amount"].try_cast(MONEY),
+        "created_at": captured_time(record["created_at"]),
     }
-    return [converted.get(name, F.col(f"{record}.{name}")).alias(name) for name in CHANGE_ROW.names]
+    return [converted.get(name, record[name]).alias(name) for name in CHANGE_ROW.names]
 
 
-def parse_envelopes(feed: DataFrame) -> DataFrame:
+def parse_envelopes(feed: DataFrame, deletes: bool = False) -> DataFrame:
     """Envelope form {before, after, source.table, op}: the new row of every create, update and read.
 
-    Unreadable values and empty ones have no operation and drop out with the deletes.
+    deletes: also the last row of every delete, marked by its op. Unreadable values and empty ones have no
+    operation and drop out.
     """
-    kept = _only(_parsed(feed, _READ), F.col("parsed.op").isin(*KEPT_OPERATIONS))
-    return kept.select(
-        *_row("parsed.after"),
+    operations = (*KEPT_OPERATIONS, DELETED) if deletes else KEPT_OPERATIONS
+    kept = _only(_parsed(feed, CHANGE_ENVELOPE if deletes else _WITHOUT_BEFORE), F.col("parsed.op").isin(*operations))
+    record = F.col("parsed.after")
+    if deletes:
+        record = F.when(F.col("parsed.op") == DELETED, F.col("parsed.before")).otherwise(record)
+    return kept.withColumn("record", record).select(
+        *_row(F.col("record")),
         F.col("parsed.source.table").alias("table"),
         F.col("parsed.op").alias("op"),
         "processed_at",
+        "sequence",
     )
 
 
@@ -68,4 +79,4 @@ def parse_records(feed: DataFrame) -> DataFrame:
     table = F.element_at(F.split("topic", r"\."), -1).alias("table")
     records = _parsed(feed.filter(F.col("value").isNotNull()), CHANGE_ROW, table)
     kept = _only(records, F.col("parsed.id").isNotNull())
-    return kept.select(*_row("parsed"), "table", "processed_at")
+    return kept.select(*_row(F.col("parsed")), "table", "processed_at", "sequence")

@@ -1,17 +1,35 @@
-"""Fan-out of parsed changes into one lake table per captured source table."""
+"""Fan-out of parsed changes into one lake table per captured source table, and reading them.
+
+Layout of a captured table: dt=<day of created_at>/stream=<id>/batch=<number>. The day comes first, so a range of times
+prunes folders. The stream's own id keeps apart what runs with different progress folders write: their batch numbers both
+start at 0. A batch that is replayed replaces its own folders only.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+
+from martloom.functions.times import at
+from martloom.operators.current import current_rows
+from martloom.operators.files import delete_folder, make_folder
+from martloom.operators.sinks import DAY
+from martloom.schemas import CAPTURED, CUSTOMERS, ORDERS, PAYMENTS
+from martloom.streaming.changes import DELETED
 
-from martloom.operators.sinks import write_by_day
-from martloom.schemas import CAPTURED
+STREAM, BATCH = "stream", "batch"
+MERGED = "merged"
+NEWEST_BY = ("loaded_at", "sequence")
 
-BATCH = "batch_id"
+_STORED: Mapping[str, StructType] = {
+    table: StructType([*schema, StructField("op", StringType()), StructField("sequence", LongType())])
+    for table, schema in {"customers": CUSTOMERS, "orders": ORDERS, "payments": PAYMENTS}.items()
+}
 
 
 def rows_of(changes: DataFrame, table: str) -> DataFrame:
@@ -22,30 +40,41 @@ def table_path(root: str, table: str) -> str:
     return f"{root}/{table}"
 
 
+def create_captured(spark: SparkSession, root: str) -> None:
+    """The tables' folders, so that a table without any event yet can be read (and is empty)."""
+    for table in CAPTURED:
+        make_folder(spark, table_path(root, table))
+
+
+def _to_store(changes: DataFrame, table: str) -> DataFrame:
+    rows = changes.filter(F.col("table") == table).withColumnRenamed("processed_at", "loaded_at")
+    if "op" not in rows.columns:
+        rows = rows.withColumn("op", F.lit(None).cast("string"))
+    return rows.select(*[F.col(field.name).cast(field.dataType) for field in _STORED[table]])
+
+
+def _write(rows: DataFrame, path: str, stream: str, batch_id: int, fmt: str, mode: str) -> None:
+    placed = rows.withColumns({DAY: F.to_date("created_at"), STREAM: F.lit(stream), BATCH: F.lit(batch_id)})
+    writer = placed.hint("rebalance", DAY).write.format(fmt).mode(mode).partitionBy(DAY, STREAM, BATCH)
+    writer.option("partitionOverwriteMode", "dynamic").save(path)
+
+
 def write_batch(
-    changes: DataFrame,
-    batch_id: int,
-    root: str,
-    repeatable: bool = True,
-    tables: Mapping[str, Sequence[str]] = CAPTURED,
+    changes: DataFrame, batch_id: int, root: str, repeatable: bool = True, stream: str = "batch", fmt: str = "parquet"
 ) -> None:
     """Write one micro-batch. The batch is parsed once and kept while its tables are written.
 
-    repeatable: every batch owns a folder and replaces it, so a replayed batch leaves the same rows.
-    Otherwise rows are appended, at least once. In both forms an update adds a row version.
+    repeatable: the folders of this stream and batch are replaced, so a replayed batch leaves the same rows.
+    Otherwise rows are appended, at least once. In both forms an update adds a row version. fmt: a file format.
     """
-    kept = changes.filter(F.col("table").isin(*tables)).persist()
+    kept = changes.filter(F.col("table").isin(*CAPTURED)).persist()
     try:
         # One pass fills the cache and tells which tables the batch touches.
         touched = {row.table for row in kept.select("table").distinct().collect()}
-        for table, columns in tables.items():
-            if table not in touched:
-                continue
-            rows = kept.filter(F.col("table") == table).select(*columns, F.col("processed_at").alias("loaded_at"))
-            if repeatable:
-                write_by_day(rows, f"{table_path(root, table)}/{BATCH}={batch_id}", "created_at", mode="overwrite")
-            else:
-                write_by_day(rows, table_path(root, table), "created_at", mode="append")
+        for table in CAPTURED:
+            if table in touched:
+                rows = _to_store(kept, table)
+                _write(rows, table_path(root, table), stream, batch_id, fmt, "overwrite" if repeatable else "append")
     finally:
         kept.unpersist()
 
@@ -57,15 +86,22 @@ def start_capture(
     repeatable: bool = True,
     drain: bool = True,
     interval: str = "10 seconds",
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """Stream parsed changes into the lake below `root`.
 
     drain: work off what the feed holds now and stop (scheduled runs); otherwise keep running.
-    Progress lives in `checkpoint`; starting again with it continues where the last run ended.
+    Progress lives in `checkpoint`; starting again with it continues where the last run ended, under the same id.
     """
+    create_captured(changes.sparkSession, root)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        stream = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_batch(df, batch_id, root, repeatable, stream, fmt)
+
     trigger = {"availableNow": True} if drain else {"processingTime": interval}
     return (
-        changes.writeStream.foreachBatch(lambda df, batch_id: write_batch(df, batch_id, root, repeatable))
+        changes.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .outputMode("update")
         .trigger(**trigger)
@@ -73,14 +109,65 @@ def start_capture(
     )
 
 
-def read_captured(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, table)).select(*CAPTURED[table])
+def _stored(spark: SparkSession, root: str, table: str, fmt: str) -> DataFrame:
+    schema = StructType([*_STORED[table], *_folders()])
+    return spark.read.schema(schema).format(fmt).load(table_path(root, table))
+
 
+def _folders() -> list[StructField]:
+    return [StructField(DAY, DateType()), StructField(STREAM, StringType()), StructField(BATCH, LongType())]
 
-def captured_sources(root: str) -> dict[str, Callable[[SparkSession], DataFrame]]:
-    """The captured tables as sources of a warehouse. Their load stamp is the time of the change event."""
+
+def _not_deleted() -> Column:
+    return F.col("op").isNull() | (F.col("op") != DELETED)
+
+
+def read_captured(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
+    """All row versions of a captured table, deletions left out."""
+    return _stored(spark, root, table, fmt).filter(_not_deleted()).select(*CAPTURED[table])
+
+
+def captured_between(
+    spark: SparkSession, root: str, table: str, since: datetime, until: datetime, fmt: str = "parquet"
+) -> DataFrame:
+    """Row versions created in [since, until). Only the folders of those days are listed and read."""
+    days = F.col(DAY).between(F.lit(since.date()), F.lit(until.date()))
+    created = F.col("created_at")
+    rows = _stored(spark, root, table, fmt).filter(days & (created >= at(since)) & (created < at(until)))
+    return rows.filter(_not_deleted()).select(*CAPTURED[table])
+
+
+def read_current(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
+    """The newest version of every row that has not been deleted, with its load stamp. One row per id."""
+    rows = _stored(spark, root, table, fmt).select(*_STORED[table].names)
+    return current_rows(rows, "id", NEWEST_BY, F.col("op") == DELETED).select(*CAPTURED[table], "loaded_at")
+
+
+def captured_sources(root: str, fmt: str = "parquet") -> dict[str, Callable[[SparkSession], DataFrame]]:
+    """The captured tables in their current state as sources of a warehouse: ids are unique, so state it in the
+    parameters. Their load stamp is the time of the change event."""
 
     def reader(table: str) -> Callable[[SparkSession], DataFrame]:
-        return lambda spark: spark.read.parquet(table_path(root, table)).select(*CAPTURED[table], "loaded_at")
+        return lambda spark: read_current(spark, root, table, fmt)
 
     return {table: reader(table) for table in CAPTURED}
+
+
+def compact_day(spark: SparkSession, root: str, table: str, day: date, fmt: str = "parquet") -> int:
+    """Merge the small folders of a day that gets no more events into one; returns how many were merged.
+
+    The merged rows are complete before the folders they came from are deleted, so a failure in between leaves
+    rows twice, never lost: equal versions are one to `read_current`, and repeating the call clears them away.
+    """
+    path = table_path(root, table)
+    rows = _stored(spark, root, table, fmt).filter(F.col(DAY) == F.lit(day))
+    parts = [(r[0], r[1]) for r in rows.select(STREAM, BATCH).distinct().collect()]  # folders of one day
+    if len(parts) < 2:
+        return 0
+    earlier = [int(stream.rsplit("-", 1)[1]) for stream, _ in parts if stream.startswith(MERGED)]
+    target = f"{MERGED}-{max(earlier, default=-1) + 1}"
+    _write(rows.select(*_STORED[table].names).distinct(), path, target, 0, fmt, "overwrite")
+    for stream, batch in parts:
+        delete_folder(spark, f"{path}/{DAY}={day}/{STREAM}={stream}/{BATCH}={batch}")
+    return len(parts)
+

@@ -144,12 +144,3 @@ def test_invariants(spark):
     people = warehouse.ref("customer_geography").selectExpr("sum(total_customers)").first()[0]
     assert people == warehouse.ref("dim_customers").count()
     assert facts.filter("outstanding_amount != order_amount - coalesce(total_paid_amount, 0)").isEmpty()
-
-
-def test_smoke_models(spark):
-    warehouse = golden(spark)
-    assert rows(warehouse.ref("dim_test_model")) == [(1, "test_value", AS_OF)]
-    assert rows(warehouse.ref("smoke_model")) == [(1, "test", AS_OF)]
-    assert rows(warehouse.ref("smoke_customers"), "customer_name", "country_code") == [("Test Customer", "US")]
-    (fallback,) = warehouse.ref("fallback_customers").collect()
-    assert (fallback.total_orders, fallback.total_spent, fallback.customer_segment) == (1, D("100.0"), "VIP")

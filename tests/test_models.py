@@ -132,7 +132,8 @@ def test_stored_marts_equal_composed_ones(spark, tmp_path):
     counts = dict(rows(stored.run()))
     assert counts == {
         "dim_customers": 7, "dim_customers_enriched": 7, "fct_orders": 5, "fct_daily_sales": 2, "fct_payments": 4,
-        "customer_metrics": 7, "customer_acquisition": 1, "customer_geography": 7,
+        "customer_metrics": 7, "customer_acquisition": 1, "customer_geography": 7, "dim_dates": 112,
+        "compact_dim_customers": 7, "compact_fct_orders": 5,
     }
     for name in counts:
         assert rows(stored.ref(name)) == rows(composed.ref(name)), name

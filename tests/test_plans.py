@@ -5,8 +5,12 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from martloom import Warehouse
+from martloom.plans import checks
 from martloom.plans.workload import sample_warehouse
+from martloom.sources.sample import SAMPLE_PARAMS, sample_sources
 
 SAMPLE = "/root/testdata/sf0.001"
 
@@ -31,15 +35,13 @@ def scans(text: str, table: str) -> int:
     return len(re.findall(rf"FileScan parquet.*/{table}\.parquet", text))
 
 
-@pytest.mark.parametrize("hot_key_rows", [15, 2_000_000])
-def test_daily_sales_do_not_read_payments(shuffled, hot_key_rows):
-    text = plan(sample_warehouse(shuffled, SAMPLE, hot_key_rows=hot_key_rows).ref("fct_daily_sales"))
+def test_daily_sales_do_not_read_payments(shuffled):
+    text = plan(sample_warehouse(shuffled, SAMPLE).ref("fct_daily_sales"))
     assert scans(text, "lineitem") == 0 and scans(text, "orders") == 2
 
 
-@pytest.mark.parametrize("hot_key_rows", [15, 2_000_000])
-def test_payments_are_read_once_for_the_payment_fact(shuffled, hot_key_rows):
-    text = plan(sample_warehouse(shuffled, SAMPLE, hot_key_rows=hot_key_rows).ref("fct_payments"))
+def test_payments_are_read_once_for_the_payment_fact(shuffled):
+    text = plan(sample_warehouse(shuffled, SAMPLE).ref("fct_payments"))
     assert scans(text, "lineitem") == 1
 
 
@@ -69,5 +71,53 @@ def test_children_are_aggregated_before_they_are_joined(shuffled):
 
 @pytest.mark.parametrize("name", ["dim_customers", "fct_orders", "fct_payments", "customer_geography"])
 def test_no_python_in_plans(shuffled, name):
-    text = plan(sample_warehouse(shuffled, SAMPLE, hot_key_rows=15).ref(name))
+    text = plan(sample_warehouse(shuffled, SAMPLE).ref(name))
     assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_composing_a_fact_starts_no_job(shuffled):
+    warehouse = sample_warehouse(shuffled, SAMPLE)
+    for name in ("customers", "orders", "payments"):
+        warehouse.source(name)  # reads the files' schemas
+    group = "composing"
+    shuffled.sparkContext.setJobGroup(group, group)
+    for name in ("fct_orders", "fct_payments", "fct_daily_sales", "compact_fct_orders"):
+        warehouse.ref(name)
+    assert not shuffled.sparkContext.statusTracker().getJobIdsForGroup(group)
+    shuffled.sparkContext.setJobGroup("others", "others")
+
+
+def test_payments_are_shuffled_once_for_the_roll_up(shuffled):
+    text = plan(sample_warehouse(shuffled, SAMPLE).ref("int_order_payments"))
+    assert text.count("Exchange hashpartitioning(order_id") == 2  # the roll-up and the orders
+    assert "payment_method" not in re.findall(r"Exchange hashpartitioning\((.*?)\)", text)[0]
+
+
+def test_rules_on_rows_take_one_scan_per_table(shuffled):
+    warehouse = sample_warehouse(shuffled, SAMPLE)
+    text = plan(checks._row_checks(warehouse, "orders", fresh=True))
+    assert scans(text, "orders") == 1 and "not_null" in text
+
+
+def test_adaptive_execution_splits_hot_keys_of_the_fact_joins(shuffled):
+    """A third of the orders belongs to one customer, some to none: the join's partitions are cut up."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: shuffled.conf.get(name, None) for name in settings}
+    sources = sample_sources(SAMPLE)
+    plain = sources["orders"]
+    owner = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("customer_id"))
+    many = F.explode(F.sequence(F.lit(0), F.lit(20)))
+    hot = lambda s: plain(s).repartition(12).withColumn("customer_id", owner).withColumn("n", many).drop("n")
+    try:
+        for name, value in settings.items():
+            shuffled.conf.set(name, value)
+        df = Warehouse(shuffled, sources | {"orders": hot}, SAMPLE_PARAMS).ref("compact_fct_orders")
+        df.collect()
+        assert "skew=true" in plan(df)
+    finally:
+        for name, value in before.items():
+            shuffled.conf.unset(name) if value is None else shuffled.conf.set(name, value)
