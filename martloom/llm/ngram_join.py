@@ -13,7 +13,7 @@ Rarity is the number of n-grams in the same one of BUCKETS parts of the hash spa
 size, broadcast. Any order gives the same result; a rarer-first order gives fewer candidates.
 
 A group of near copies would give all its pairs. So first every class meets just two classes of each of its n-grams' groups,
-chosen by hash; what that links forms components; only pairs of classes in different components are then enumerated. Links
+chosen by hash in one of CHOICES ways; what that links forms components; only pairs of classes in different components are then enumerated. Links
 inside a component change nothing about the components, so the result is that of all pairs. Hot n-grams are combined
 before the shuffle, and the joins on them can be split by adaptive execution.
 
@@ -37,6 +37,8 @@ from martloom.llm.texts import Words, gram_hashes, kept_offsets, mix, ranged_has
 
 BUCKETS = 1 << 18
 SKETCH = 8
+#: Ways to choose the two classes that the others of an n-gram's group meet first; n-grams are dealt among them.
+CHOICES = 8
 #: Bits of the broadcast filter of classes to be verified; more classes than bits cost time, not results.
 FILTER_BITS = 1 << 25
 
@@ -146,31 +148,33 @@ def _prefixes(documents: DataFrame, n: int, percent: int, counts) -> DataFrame:
 
 
 def _sets_of(documents: DataFrame, n: int, needed: DataFrame) -> DataFrame:
-    """(class, grams) of the needed classes (class, doc_id of one document of it)."""
+    """(class, grams) of the needed classes, read from one document of each (class, doc_id).
+
+    The document is found by a filter of fixed size. Others that pass it by mistake, and rows with equal ids, give
+    sets that are asked for by nobody, or twice.
+    """
+    spot = F.col("class").bitwiseXOR(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
     words = needed.select(
-        F.expr(f"CAST(shiftright(class & {FILTER_BITS - 1}L, 6) AS INT)").alias("at"), F.expr("shiftleft(1L, CAST(class & 63 AS INT))").alias("bit")
+        F.shiftright(spot.bitwiseAND(F.lit(FILTER_BITS - 1)), 6).cast("int").alias("at"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), spot.bitwiseAND(F.lit(63)).cast("int")).alias("bit"),
     )
     bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
     held = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
     bits[held.column("at").to_numpy()] = held.column("bits").to_numpy()
     shared = documents.sparkSession.sparkContext.broadcast(bits)
-    kind = documents.schema["doc_id"].dataType.simpleString()
 
     def sets_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("doc_id"))
+            ids = batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64()).fill_null(0).to_numpy()
             for rows, words in word_runs(batch, lower=True):
                 sets = GramSets(words, n)
                 classes = sets.classes()
-                low = classes & (FILTER_BITS - 1)
+                low = (classes ^ ids[rows]) & (FILTER_BITS - 1)
                 wanted = np.flatnonzero((shared.value[low >> 6] >> (low & 63) & 1).astype(bool) & (sets.sizes > 0))
                 grams = [signed(sets.values[sets.offsets[d] : sets.offsets[d + 1]]) for d in wanted]
-                yield pa.RecordBatch.from_arrays(
-                    [ids[rows].take(pa.array(wanted)), pa.array(classes[wanted]), pa.array(grams, pa.list_(pa.int64()))], ["doc_id", "class", "grams"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(classes[wanted]), pa.array(grams, pa.list_(pa.int64()))], ["class", "grams"])
 
-    found = documents.mapInArrow(sets_in, f"doc_id {kind}, class long, grams array<long>")
-    return found.join(needed, ["class", "doc_id"]).select("class", "grams")
+    return documents.mapInArrow(sets_in, "class long, grams array<long>")
 
 
 def _may_link(percent: int, a: str, b: str) -> Column:
@@ -208,10 +212,11 @@ def link_classes(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     )
 
     prefixes = _prefixes(documents, n, percent, counts)
-    # two classes of each n-gram's group, by a hash that differs from n-gram to n-gram
-    turned = F.col("class").bitwiseXOR(F.col("gram"))
+    # two classes of each n-gram's group; groups with the same members choose alike unless their ways differ
+    way = F.xxhash64(F.pmod("gram", F.lit(CHOICES)))
+    turned = F.col("class").bitwiseXOR(way)
     groups = prefixes.groupBy("gram").agg(F.min(turned).alias("low"), F.max(turned).alias("high")).filter("low < high")
-    back = lambda c: F.col(c).bitwiseXOR(F.col("gram"))
+    back = lambda c: F.col(c).bitwiseXOR(way)
     groups = stored(groups.select("gram", back("low").alias("low"), back("high").alias("high")), "groups")
     members = stored(prefixes.join(groups, "gram"), "members")
 
