@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from martloom import schemas
 from martloom.operators import quality
+from martloom.plans.intermediate import CUSTOMER, parents
 
 if TYPE_CHECKING:
     from martloom.plans.warehouse import Warehouse
@@ -70,8 +71,9 @@ def revenue_mismatch(w: Warehouse) -> DataFrame:
 
 
 def invalid_emails(w: Warehouse) -> DataFrame:
-    # the dimension passes the staged address on
-    return quality.count_violations("invalid_emails", quality.malformed_emails(w.ref("stg_customers")))
+    # the customers of the dimension, without the join that only adds their orders
+    customers = parents(w, "stg_customers", CUSTOMER)
+    return quality.count_violations("invalid_emails", quality.malformed_emails(customers))
 
 
 # monitoring
