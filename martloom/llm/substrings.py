@@ -185,7 +185,7 @@ def _shard_masks(length: int):
 
 
 def _contents(documents: DataFrame, pieces: DataFrame, length: int) -> DataFrame:
-    """The words (hashes) of pieces (anchor, piece, times, key, start, windows), read from the documents of their keys."""
+    """Pieces (anchor, piece, times, n, key, start, windows) with their words (hashes), read from the documents of their keys."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,15 +196,16 @@ def _contents(documents: DataFrame, pieces: DataFrame, length: int) -> DataFrame
                 for d, items in enumerate(wanted[rows].to_pylist()):
                     for item in items:
                         at = words.first[d] + item["start"]
-                        out.append((item["anchor"], item["piece"], item["times"], hashes[at : at + item["windows"] + length - 1]))
-                columns = list(zip(*out)) or [[], [], [], []]
+                        part = hashes[at : at + item["windows"] + length - 1]
+                        out.append((item["anchor"], item["piece"], item["times"], item["n"], part))
+                columns = list(zip(*out)) or [[]] * 5
+                kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(columns[i]), kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())))],
-                    ["anchor", "piece", "times", "words"],
+                    [pa.array(list(column), kind) for column, kind in zip(columns, kinds)], ["anchor", "piece", "times", "n", "words"]
                 )
 
-    asked = pieces.groupBy("key").agg(F.collect_list(F.struct("anchor", "piece", "times", "start", "windows")).alias("wanted"))
-    return documents.join(asked, "key").mapInArrow(read, "anchor long, piece long, times long, words array<long>")
+    asked = pieces.groupBy("key").agg(F.collect_list(F.struct("anchor", "piece", "times", "n", "start", "windows")).alias("wanted"))
+    return documents.join(asked, "key").mapInArrow(read, "anchor long, piece long, times long, n long, words array<long>")
 
 
 def repeated_windows(documents: DataFrame, length: int, shard: int = SHARD) -> DataFrame:
@@ -223,7 +224,7 @@ def repeated_windows(documents: DataFrame, length: int, shard: int = SHARD) -> D
     open_groups = stored(groups.filter("least = 1 AND (n > 1 OR weight > 1)").select("anchor", "n"), "open-groups")
     total = open_groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     open_pieces = distinct.join(open_groups, "anchor").select("anchor", "piece", "times", "n", "place.*")
-    read = _contents(documents, open_pieces.drop("n"), length).join(open_groups, "anchor")
+    read = _contents(documents, open_pieces, length)
 
     shards = max(1, -(-total * 2 // shard))
     by_automaton = (
