@@ -86,33 +86,33 @@ def prefix_length(size, percent: int):
 
 
 def _profiles(documents: DataFrame, n: int) -> DataFrame:
-    """A row per document (id, class, size, sketch), and rows of n-gram counts per bucket (bucket, count)."""
+    """A row per document (id, key, class, size, sketch), and rows of n-gram counts per bucket (bucket, count)."""
     kind = documents.schema["doc_id"].dataType
     names = [f"s{i}" for i in range(SKETCH)]
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("doc_id"))
+            ids, keys = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "key"))
             for rows, words in word_runs(batch, lower=True):
                 sets = GramSets(words, n)
                 totals += np.bincount(buckets_of(sets.values), minlength=BUCKETS)
                 sketches = sets.sketches()
                 yield pa.RecordBatch.from_arrays(
-                    [ids[rows], pa.array(sets.classes(), mask=sets.sizes == 0), pa.array(sets.sizes)]
+                    [ids[rows], keys[rows], pa.array(sets.classes(), mask=sets.sizes == 0), pa.array(sets.sizes)]
                     + [pa.array(sketches[:, i]) for i in range(SKETCH)]
                     + [pa.nulls(len(sets.sizes), pa.int32())],
-                    ["doc_id", "class", "size", *names, "bucket"],
+                    ["doc_id", "key", "class", "size", *names, "bucket"],
                 )
         at = np.flatnonzero(totals)
         if len(at):
             none = pa.nulls(len(at), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(at), ids.type), none, pa.array(totals[at])] + [none] * SKETCH + [pa.array(at.astype(np.int32))],
-                ["doc_id", "class", "size", *names, "bucket"],
+                [pa.nulls(len(at), ids.type), none, none, pa.array(totals[at])] + [none] * SKETCH + [pa.array(at.astype(np.int32))],
+                ["doc_id", "key", "class", "size", *names, "bucket"],
             )
 
-    schema = f"doc_id {kind.simpleString()}, class long, size long, {', '.join(x + ' long' for x in names)}, bucket int"
+    schema = f"doc_id {kind.simpleString()}, key long, class long, size long, {', '.join(x + ' long' for x in names)}, bucket int"
     return documents.mapInArrow(profile, schema)
 
 
@@ -198,9 +198,12 @@ def _verified(documents: DataFrame, n: int, percent: int, pairs: DataFrame, clas
 
 
 def link_classes(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, size, class) of every row, and (node, root) of the classes that are linked with another."""
+    """(doc_id, key, size, class) of every row, and (node, root) of the classes that are linked with another.
+
+    The key is a hash of id and text: rows that have both in common are one and the same.
+    """
     documents = documents.select("doc_id", "text")
-    profiles = stored(_profiles(documents, n), "profiles")
+    profiles = stored(_profiles(documents.withColumn("key", F.xxhash64("doc_id", "text")), n), "profiles")
     rows = profiles.filter("bucket IS NULL").drop("bucket")
     summed = profiles.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("size").alias("n")).toArrow()  # at most BUCKETS rows
     table = np.zeros(BUCKETS, dtype=np.int64)
@@ -252,7 +255,7 @@ def link_classes(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     more = stored(_verified(documents, n, percent, second, classes), "links")
     # whole components are contracted to their roots, then joined by the further links
     up = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return rows.select("doc_id", "size", "class"), components(up.unionByName(more))
+    return rows.select("doc_id", "key", "size", "class"), components(up.unionByName(more))
 
 
 def _filtered(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
@@ -263,10 +266,15 @@ def _filtered(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return joined.filter(_may_link(percent, "of_a", "of_b")).select("a", "b")
 
 
+def _rooted(documents: DataFrame, n: int, percent: int) -> DataFrame:
+    rows, roots = link_classes(documents, n, percent)
+    joined = rows.join(roots, rows["class"] == roots["node"], "left")
+    return joined.select("doc_id", "key", "size", F.coalesce("root", "class").alias("root"))
+
+
 def near_duplicates(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles (size of the set) and component_id of every row of documents (doc_id, text, ...)."""
-    rows, roots = link_classes(documents, n, percent)
-    rooted = rows.join(roots, rows["class"] == roots["node"], "left").select("doc_id", "size", F.coalesce("root", "class").alias("root"))
+    rooted = _rooted(documents, n, percent)
     least = stored(rooted.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least-ids")
     return rooted.join(least, "root", "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
@@ -276,15 +284,18 @@ def near_duplicates(documents: DataFrame, n: int = 5, percent: int = 80) -> Data
 def one_of_each(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The documents without their near duplicates: of each component the row with the smallest id stays, with its columns.
 
-    Documents with an empty set all stay. Of rows with the same smallest id one stays.
+    Null ids come last; of rows with equal ids the one whose key is smaller stays, of rows equal in id and text any
+    one. Documents with an empty set all stay.
     """
-    marked = near_duplicates(documents, n, percent)
-    kept = (
-        marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg((F.max("n_shingles") == 0).alias("__empty"), F.count(F.lit(1)).alias("__rows"))
+    keys = _rooted(documents, n, percent).groupBy("key").agg(
+        F.first("root").alias("root"), F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows")
+    )
+    keys = stored(keys, "keys")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "rows")
+    first = keys.filter("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("first"))
+    kept = first.select(F.col("first.key").alias("__key"), (F.col("first.rows") == 1).alias("__single")).unionByName(
+        keys.filter("root IS NULL").select(F.col("key").alias("__key"), F.lit(True).alias("__single"))
     )
-    joined = documents.join(kept, documents["doc_id"].eqNullSafe(kept["__id"]))
-    single = F.col("__empty") | (F.col("__rows") == 1)
-    once = joined.filter(single).drop(*kept.columns)
-    return once.unionByName(joined.filter(~single).drop(*kept.columns).dropDuplicates(["doc_id"]))
+    joined = documents.withColumn("__key", F.xxhash64("doc_id", "text")).join(kept, "__key")
+    once = joined.filter("__single").drop("__key", "__single")
+    return once.unionByName(joined.filter("NOT __single").dropDuplicates(["__key"]).drop("__key", "__single"))

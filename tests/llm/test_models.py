@@ -142,7 +142,7 @@ def test_held_out_quality(spark):
     got = queries()["op5_quality"](spark, SAMPLE).join(marks, "doc_id").filter("held_out").toPandas()
     assert (got.keep == (got.quality == 1)).mean() > 0.97
     assert got[got.quality == 1].keep.mean() > 0.985
-    assert got.expected_grade.between(0, 2).all() and got.tail.between(0, 1).all()
+    assert got.expected_grade.between(0, 2).all() and got["tail"].between(0, 1).all()
 
 
 def test_defined_results_of_quality(spark):
