@@ -59,4 +59,6 @@ def captured_time(text: Column) -> Column:
     Digits that are no time in microseconds (nanoseconds, for instance) are null, not an error.
     """
     digits = text.rlike(r"^\s*[+-]?\d+\s*$")
-    return F.when(digits, from_epoch_micros(text.try_cast("bigint"))).otherwise(text.try_cast("timestamp_ntz"))
+    written = text.try_cast("timestamp_ntz")
+    written = F.when(F.year(written).between(1, 9999), written)
+    return F.when(digits, from_epoch_micros(text.try_cast("bigint"))).otherwise(written)
