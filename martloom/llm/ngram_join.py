@@ -7,7 +7,8 @@ whole sets. Before that, candidates are dropped by
 * length: similar sets differ little in size;
 * position: what may still be shared behind the positions of a shared n-gram must suffice;
 * suffix: a parity sketch of each set (one bit per part of the hash space, set if it holds an odd number of n-grams)
-  bounds the Hamming distance of two sets from below.
+  bounds the Hamming distance of two sets from below. A sketch of 64 * SKETCH bits goes along in the join; pairs that
+  pass are held against sketches with as many bits as the sets have n-grams.
 
 Rarity is the number of n-grams in the same one of BUCKETS parts of the hash space, over all documents: a table of fixed
 size, broadcast. Any order gives the same result; a rarer-first order gives fewer candidates.
@@ -38,7 +39,7 @@ from martloom.llm.texts import Words, gram_hashes, kept_offsets, mix, ranged_has
 BUCKETS = 1 << 18
 SKETCH = 8
 #: Ways to choose the two classes that the others of an n-gram's group meet first; n-grams are dealt among them.
-CHOICES = 8
+CHOICES = 16
 #: Bits of the broadcast filter of classes to be verified; more classes than bits cost time, not results.
 FILTER_BITS = 1 << 25
 
@@ -76,6 +77,29 @@ class GramSets:
         return np.packbits(odd.reshape(len(self.sizes), bits), axis=1).view(np.int64)
 
 
+    def wide_sketches(self) -> list[bytes]:
+        """Parities in 64 * SKETCH bits, doubled until there are as many as n-grams."""
+        out = []
+        for low, high in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist()):
+            bits = 64 * SKETCH
+            while bits < high - low:
+                bits *= 2
+            place = (self.values[low:high] >> np.uint64(40)).astype(np.int64) % bits
+            out.append(np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8)).tobytes())
+        return out
+
+
+def distance_at_least(a: bytes, b: bytes) -> int:
+    """A lower bound of the Hamming distance of two sets; a longer sketch is folded to the length of the shorter."""
+    x, y = (np.frombuffer(s, dtype=np.uint8) for s in (a, b))
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        else:
+            y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def buckets_of(values: np.ndarray) -> np.ndarray:
     return (values & np.uint64(BUCKETS - 1)).astype(np.int64)
 
@@ -101,18 +125,20 @@ def _profiles(documents: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [ids[rows], keys[rows], pa.array(sets.classes(), mask=sets.sizes == 0), pa.array(sets.sizes)]
                     + [pa.array(sketches[:, i]) for i in range(SKETCH)]
-                    + [pa.nulls(len(sets.sizes), pa.int32())],
-                    ["doc_id", "key", "class", "size", *names, "bucket"],
+                    + [pa.array(sets.wide_sketches(), pa.binary()), pa.nulls(len(sets.sizes), pa.int32())],
+                    ["doc_id", "key", "class", "size", *names, "wide", "bucket"],
                 )
         at = np.flatnonzero(totals)
         if len(at):
             none = pa.nulls(len(at), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(at), ids.type), none, none, pa.array(totals[at])] + [none] * SKETCH + [pa.array(at.astype(np.int32))],
-                ["doc_id", "key", "class", "size", *names, "bucket"],
+                [pa.nulls(len(at), ids.type), none, none, pa.array(totals[at])]
+                + [none] * SKETCH
+                + [pa.nulls(len(at), pa.binary()), pa.array(at.astype(np.int32))],
+                ["doc_id", "key", "class", "size", *names, "wide", "bucket"],
             )
 
-    schema = f"doc_id {kind.simpleString()}, key long, class long, size long, {', '.join(x + ' long' for x in names)}, bucket int"
+    schema = f"doc_id {kind.simpleString()}, key long, class long, size long, {', '.join(x + ' long' for x in names)}, wide binary, bucket int"
     return documents.mapInArrow(profile, schema)
 
 
@@ -211,7 +237,8 @@ def link_classes(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     counts = documents.sparkSession.sparkContext.broadcast(table)
     sketch = [F.first(f"s{i}").alias(f"s{i}") for i in range(SKETCH)]
     classes = stored(
-        rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), *sketch), "classes"
+        rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("wide").alias("wide"), *sketch),
+        "classes",
     )
 
     prefixes = _prefixes(documents, n, percent, counts)
@@ -223,11 +250,10 @@ def link_classes(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     groups = stored(groups.select("gram", back("low").alias("low"), back("high").alias("high")), "groups")
     members = stored(prefixes.join(groups, "gram"), "members")
 
-    known = classes.drop("doc_id")
+    known = classes.drop("doc_id", "wide")
     met = members.select("class", F.explode(F.array("low", "high")).alias("other")).filter("class <> other")
     met = met.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")).distinct()
-    first = _filtered(met, known, percent)
-    first = stored(first, "pairs")
+    first = stored(_by_wide_sketches(_filtered(met, known, percent), classes, percent), "pairs")
     links = stored(_verified(documents, n, percent, first, classes), "links")
     roots = components(links)
 
@@ -251,7 +277,8 @@ def link_classes(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame,
         & _may_link(percent, "x", "y"),
     )
     a, b = F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")
-    second = stored(candidates.select(a, b).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    open_pairs = candidates.select(a, b).distinct().join(first, ["a", "b"], "left_anti")
+    second = stored(_by_wide_sketches(open_pairs, classes, percent), "pairs")
     more = stored(_verified(documents, n, percent, second, classes), "links")
     # whole components are contracted to their roots, then joined by the further links
     up = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -266,6 +293,20 @@ def _filtered(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return joined.filter(_may_link(percent, "of_a", "of_b")).select("a", "b")
 
 
+def _by_wide_sketches(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    @F.arrow_udf("boolean")
+    def near(a: pa.Array, b: pa.Array, most: pa.Array) -> pa.Array:
+        return pa.array([distance_at_least(x, y) <= m for x, y, m in zip(a.to_pylist(), b.to_pylist(), most.to_pylist())], pa.bool_())
+
+    def end(name: str) -> DataFrame:
+        return classes.select(F.col("class").alias(name), F.struct("size", "wide").alias(f"of_{name}"))
+
+    total = F.col("of_a.size") + F.col("of_b.size")
+    least = F.ceil(total * percent / F.lit(100.0 + percent) - F.lit(1e-9))
+    joined = pairs.join(end("a"), "a").join(end("b"), "b")
+    return joined.filter(near("of_a.wide", "of_b.wide", total - 2 * least)).select("a", "b")
+
+
 def _rooted(documents: DataFrame, n: int, percent: int) -> DataFrame:
     rows, roots = link_classes(documents, n, percent)
     joined = rows.join(roots, rows["class"] == roots["node"], "left")

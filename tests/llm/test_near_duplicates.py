@@ -71,8 +71,20 @@ def test_sketches_bound_the_distance_from_below():
         sets = ngram_join.GramSets.__new__(ngram_join.GramSets)
         sets.values, sets.docs = np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)])
         sets.sizes = np.array([len(a), len(b)])
+        sets.offsets = np.array([0, len(a), len(a) + len(b)])
         x, y = sets.sketches()
         assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= 2 * own
+        assert own // 2 <= ngram_join.distance_at_least(*sets.wide_sketches()) <= 2 * own
+
+
+def test_wide_sketches_of_different_lengths_are_folded():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 2**63, 1100, dtype=np.uint64)
+    sets = ngram_join.GramSets.__new__(ngram_join.GramSets)
+    sets.values, sets.offsets = np.concatenate([values[:1000], values]), np.array([0, 1000, 2100])
+    small, large = sets.wide_sketches()
+    assert (len(small), len(large)) == (128, 256)
+    assert 80 <= ngram_join.distance_at_least(small, large) == ngram_join.distance_at_least(large, small) <= 100
 
 
 @pytest.mark.parametrize("percent", [80, 85, 100])
