@@ -40,7 +40,9 @@ BUCKETS = 1 << 18
 SKETCH = 8
 #: Ways to choose the two classes that the others of an n-gram's group meet first; n-grams are dealt among them.
 CHOICES = 16
-#: Bits of the broadcast filter of classes to be verified; more classes than bits cost time, not results.
+#: Bits of the broadcast filters of shared n-grams and of classes to be verified. Their size is fixed; with more entries
+#: than bits they let more rows through to the joins behind them, which are exact.
+SHARED_BITS = 1 << 27
 FILTER_BITS = 1 << 25
 
 
@@ -142,8 +144,29 @@ def _profiles(documents: DataFrame, n: int) -> DataFrame:
     return documents.mapInArrow(profile, schema)
 
 
-def _prefixes(documents: DataFrame, n: int, percent: int, counts) -> DataFrame:
-    """(gram, class, size, place) of the rarest n-grams of each class; a class at most once per task."""
+def _bit_filter(hashes: DataFrame, size: int) -> np.ndarray:
+    """Bits set at the low ends of the 64-bit hashes in the one column of a table."""
+    spot = F.col(hashes.columns[0])
+    words = hashes.select(
+        F.shiftright(spot.bitwiseAND(F.lit(size - 1)), 6).cast("int").alias("at"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), spot.bitwiseAND(F.lit(63)).cast("int")).alias("bit"),
+    )
+    held = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most size / 64 rows
+    bits = np.zeros(size // 64, dtype=np.int64)
+    bits[held.column("at").to_numpy()] = held.column("bits").to_numpy()
+    return bits
+
+
+def _in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    low = hashes & (64 * len(bits) - 1)
+    return (bits[low >> 6] >> (low & 63) & 1).astype(bool)
+
+
+def _prefixes(documents: DataFrame, n: int, percent: int, counts, shared=None) -> DataFrame:
+    """(gram, class, size, place) of the rarest n-grams of each class; a class at most once per task.
+
+    With `shared`, a broadcast filter, only n-grams that pass it (places are still those among all).
+    """
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -159,10 +182,13 @@ def _prefixes(documents: DataFrame, n: int, percent: int, counts) -> DataFrame:
                 order = np.lexsort((sets.values, counts.value[buckets_of(sets.values)], sets.docs))
                 place = np.arange(len(order)) - sets.offsets[sets.docs]
                 within = fresh[sets.docs] & (place < prefix_length(sets.sizes, percent)[sets.docs])
+                grams = signed(sets.values[order])
+                if shared is not None:
+                    within &= _in_filter(shared.value, grams)
                 docs = sets.docs[within]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(signed(sets.values[order][within])),
+                        pa.array(grams[within]),
                         pa.array(classes[docs]),
                         pa.array(sets.sizes[docs].astype(np.int32)),
                         pa.array(place[within].astype(np.int32)),
@@ -180,14 +206,7 @@ def _sets_of(documents: DataFrame, n: int, needed: DataFrame) -> DataFrame:
     sets that are asked for by nobody, or twice.
     """
     spot = F.col("class").bitwiseXOR(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
-    words = needed.select(
-        F.shiftright(spot.bitwiseAND(F.lit(FILTER_BITS - 1)), 6).cast("int").alias("at"),
-        F.call_function("shiftleft", F.lit(1).cast("long"), spot.bitwiseAND(F.lit(63)).cast("int")).alias("bit"),
-    )
-    bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    held = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
-    bits[held.column("at").to_numpy()] = held.column("bits").to_numpy()
-    shared = documents.sparkSession.sparkContext.broadcast(bits)
+    shared = documents.sparkSession.sparkContext.broadcast(_bit_filter(needed.select(spot.alias("spot")), FILTER_BITS))
 
     def sets_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,8 +214,7 @@ def _sets_of(documents: DataFrame, n: int, needed: DataFrame) -> DataFrame:
             for rows, words in word_runs(batch, lower=True):
                 sets = GramSets(words, n)
                 classes = sets.classes()
-                low = (classes ^ ids[rows]) & (FILTER_BITS - 1)
-                wanted = np.flatnonzero((shared.value[low >> 6] >> (low & 63) & 1).astype(bool) & (sets.sizes > 0))
+                wanted = np.flatnonzero(_in_filter(shared.value, classes ^ ids[rows]) & (sets.sizes > 0))
                 grams = [signed(sets.values[sets.offsets[d] : sets.offsets[d + 1]]) for d in wanted]
                 yield pa.RecordBatch.from_arrays([pa.array(classes[wanted]), pa.array(grams, pa.list_(pa.int64()))], ["class", "grams"])
 
@@ -248,7 +266,8 @@ def link_classes(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     groups = prefixes.groupBy("gram").agg(F.min(turned).alias("low"), F.max(turned).alias("high")).filter("low < high")
     back = lambda c: F.col(c).bitwiseXOR(way)
     groups = stored(groups.select("gram", back("low").alias("low"), back("high").alias("high")), "groups")
-    members = stored(prefixes.join(groups, "gram"), "members")
+    shared = documents.sparkSession.sparkContext.broadcast(_bit_filter(groups.select("gram"), SHARED_BITS))
+    members = stored(_prefixes(documents, n, percent, counts, shared).join(groups, "gram"), "members")
 
     known = classes.drop("doc_id", "wide")
     met = members.select("class", F.explode(F.array("low", "high")).alias("other")).filter("class <> other")
