@@ -42,7 +42,7 @@ SKETCH = 8
 CHOICES = 16
 #: Bits of the broadcast filters of shared n-grams and of classes to be verified. Their size is fixed; with more entries
 #: than bits they let more rows through to the joins behind them, which are exact.
-SHARED_BITS = 1 << 27
+SHARED_BITS = 1 << 25
 FILTER_BITS = 1 << 25
 
 
