@@ -4,8 +4,12 @@ A document's terms are its distinct lower-case words. Those in the band [min_sha
 inverse document frequencies from ln(1 / max_share) to ln(1 / min_share), form the lexicon. It is small by arithmetic, not
 by a cap: a term of the lexicon is in min_share of all documents, so there are at most (mean distinct terms of a
 document) / min_share of them, some 300,000 with the default band. Each randomised lexicon keeps a share of the terms by
-a hash of the term; small shares outlive larger edits. A document without a term in any lexicon is marked by the hash of
-all its terms instead, so it equals only documents with the same terms.
+a hash of the term; small shares outlive larger edits.
+
+A document with less than one in FEW of its terms in the band (one of a large group of near copies, whose terms are all too
+common, or of a rare language, whose terms are all too rare), or whose terms in the band fall in no lexicon, gets
+lexicons of the same shares over all its terms. Only if none of these has a term of it (it has a few terms at most) is it
+marked by the hash of all its terms.
 
 Defined results: a null text is empty; repeated ids are ordered by text; null ids come last; an empty table gives no rows.
 """
@@ -17,6 +21,8 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
 SHARES = (1 / 2, 1 / 8) + (1 / 32,) * 4 + (1 / 128,) * 4
+#: With less than one in FEW of its terms in the band a document is marked over all its terms.
+FEW = 8
 
 
 def terms_of(text: Column) -> Column:
@@ -51,6 +57,12 @@ def marks_of(ordered: Column, shares: tuple[float, ...]) -> Column:
     return F.array(*[F.xxhash64(kept(k, int(4096 * share))) for k, share in enumerate(shares)])
 
 
+def marks_or_all(marks: Column, in_band: Column, n_terms: Column, of_all: Column) -> Column:
+    """The marks; those over all terms if less than one in FEW of the terms is in the band or no lexicon has one."""
+    few = (in_band * FEW < n_terms) | F.forall(marks, lambda m: m == NO_TERM)
+    return F.when(few, of_all).otherwise(marks)
+
+
 def marks_or_own(marks: Column, own: Column) -> Column:
     """The marks; where no lexicon has a term of the document, the hash of all its terms in their place."""
     return F.when(F.forall(marks, lambda m: m == NO_TERM), F.transform(marks, lambda _: own)).otherwise(marks)
@@ -118,6 +130,8 @@ def imatch_report(
     rows = rows.withColumn("terms", terms_of(F.col("text"))).withColumn(
         "edited_terms", F.when(F.col("ahead") == 0, terms_of(F.col("edited"))).otherwise(F.array().cast("array<string>"))
     )
+    hashes = [F.sort_array(F.transform(F.col(c), lambda t: F.xxhash64(t))).alias(f"{c}_hashes") for c in ("terms", "edited_terms")]
+    rows = rows.select("*", *hashes)
     base = F.struct(
         "ahead",
         "doc_id",
@@ -125,8 +139,15 @@ def imatch_report(
         F.sha2("edited", 256).alias("edited_sha256"),
         own_hash(F.col("terms")).alias("own"),
         own_hash(F.col("edited_terms")).alias("edited_own"),
+        F.size("terms").alias("n_terms"),
+        F.size("edited_terms").alias("edited_n_terms"),
+        marks_of(F.col("terms_hashes"), shares).alias("of_all"),
+        marks_of(F.col("edited_terms_hashes"), shares).alias("edited_of_all"),
+    )
+    nothing = F.lit(None).cast(
+        "struct<ahead:int,doc_id:%s,n_chars:bigint,edited_sha256:string,own:bigint,edited_own:bigint,"
+        "n_terms:int,edited_n_terms:int,of_all:array<bigint>,edited_of_all:array<bigint>>" % kind_of_id
     )
-    nothing = F.lit(None).cast("struct<ahead:int,doc_id:%s,n_chars:bigint,edited_sha256:string,own:bigint,edited_own:bigint>" % kind_of_id)
 
     def items(terms: str, kind: int) -> Column:
         return F.transform(
@@ -144,7 +165,14 @@ def imatch_report(
         F.sort_array(F.collect_list(F.when(F.col("kind") == 1, F.col("term")))).alias("edited_terms"),
     )
     marked = gathered.select(
-        "range", "row", "base", marks_of(F.col("terms"), shares).alias("marks"), marks_of(F.col("edited_terms"), shares).alias("edited_marks")
+        "range", "row", "base", "terms", "edited_terms",
+        marks_of(F.col("terms"), shares).alias("marks"), marks_of(F.col("edited_terms"), shares).alias("edited_marks"),
+    ).select(
+        "range",
+        "row",
+        "base",
+        marks_or_all(F.col("marks"), F.size("terms"), F.col("base.n_terms"), F.col("base.of_all")).alias("marks"),
+        marks_or_all(F.col("edited_marks"), F.size("edited_terms"), F.col("base.edited_n_terms"), F.col("base.edited_of_all")).alias("edited_marks"),
     ).select(
         "range",
         "row",

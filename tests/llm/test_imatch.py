@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -82,3 +83,37 @@ def test_small_tables(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     checked(rows, imatch.imatch_report(docs).collect()) if rows else None
     assert imatch.imatch_report(docs).count() == len(rows)
+
+
+def nearness(spark, rows, of):
+    """Mean likeness of neighbouring documents of a group, and the fingerprints by id."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = imatch.imatch_report(docs, min_share=0.005).collect()
+    checked(rows, got)
+    near = [r["near_next"] for r in got if r["doc_id"] in of and r["doc_id"] - 1 in of]
+    return sum(near) / len(near)
+
+
+def others(rng, n):
+    return [" ".join(f"w{int(rng.paretovariate(0.6)) % 2000}" for _ in range(120)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("new", ["n{i}", "w{k}"])
+def test_a_third_of_the_rows_are_near_copies(spark, new):
+    """Copies with one word changed, into a word of no other row or into one of the band."""
+    rng = random.Random(3)
+    first = [f"c{k}" for k in range(100)]
+    texts = others(rng, 400)
+    for i in range(200):
+        at = rng.randrange(100)
+        texts.append(" ".join(first[:at] + [new.format(i=i, k=rng.randrange(5, 60))] + first[at + 1 :]))
+    assert nearness(spark, list(enumerate(texts)), range(400, 600)) > 0.6
+
+
+def test_a_language_of_a_few_rows(spark):
+    rng = random.Random(5)
+    texts = others(rng, 600)
+    first = [f"ö{k}" for k in range(100)]
+    texts += [" ".join(first), " ".join([*first[:50], "ü", *first[51:]])]
+    assert nearness(spark, list(enumerate(texts)), range(600, 602)) > 0.6
+    assert nearness(spark, list(enumerate(texts)), range(300)) < 0.2
