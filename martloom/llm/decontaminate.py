@@ -3,9 +3,12 @@
 Words are runs of letters and digits (ASCII in lower case; other characters count as letters). For every item size, the
 windows of that many words get a 64-bit SimHash of their weighted shingles (five words; all words of a shorter item). The
 items' fingerprints stand in a multi-index: cut into RADIUS + 1 blocks, two fingerprints within RADIUS bits agree in at
-least one, so looking up each block finds every item within the radius. Candidates are verified by the exact weighted
-Jaccard similarity of the shingle sets; weights are inverse document frequencies over the benchmark. A window that
-shares no shingle with any item of its size has similarity 0 and is not fingerprinted.
+least one, so looking up each block finds every item within the radius. The radius is wide: at similarity 0.8 two
+fingerprints differ in 9 to 10 bits, with a deviation of about 3 (4 with very uneven weights), and the blocks mostly spread
+an item's size; the Hamming check decides. Items of at most SHORT words have too few votes a bit for a radius and are
+looked up by their shingles. Candidates are verified by the exact weighted Jaccard similarity of the shingle sets; weights
+are inverse document frequencies over the benchmark. A window that shares no shingle with any item of its size has
+similarity 0 and is not fingerprinted.
 
 The benchmark goes to the tasks in blocks of at most BLOCK items, whatever its size.
 
@@ -23,7 +26,9 @@ from pyspark.sql import functions as F
 from martloom.llm.texts import Words, gram_hashes, mix, ranged_hash, slices
 
 SHINGLE = 5
-RADIUS = 12
+RADIUS = 24
+#: Items of at most so many words (eight shingles) are found by any shingle, without fingerprints.
+SHORT = 12
 #: Items broadcast at once; a larger benchmark is searched in several passes.
 BLOCK = 50_000
 _FILTER_BITS = 20
@@ -66,20 +71,26 @@ def benchmark_index(items: list[tuple[int, str]]) -> dict:
     weights = {g: float(1 + np.log((1 + total) / (1 + c))) for g, c in seen_in.items()}
     other = float(1 + np.log(1 + total))
     index: dict[tuple[int, int, int], list[int]] = {}
+    by_gram: dict[tuple[int, int], list[int]] = {}
     entries, holders = [], {}
     for k, (item_id, size, n, grams) in enumerate(prepared):
         w = np.array([weights[g] for g in grams.tolist()])
         fingerprint = simhash(grams, w)
         entries.append((item_id, size, frozenset(grams.tolist()), float(w.sum()), fingerprint))
-        for block, value in _blocks(fingerprint):
-            index.setdefault((size, block, value), []).append(k)
+        if size <= SHORT:
+            for g in grams.tolist():
+                by_gram.setdefault((size, g), []).append(k)
+        else:
+            for block, value in _blocks(fingerprint):
+                index.setdefault((size, block, value), []).append(k)
         for g in grams.tolist():
             holders.setdefault(g, set()).add(size)
     known = np.array(sorted(seen_in), dtype=np.uint64)
     bits = np.zeros(1 << _FILTER_BITS, dtype=bool)
     bits[(known & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
     return {
-        "entries": entries, "index": index, "weights": weights, "other": other, "known": known, "bits": bits,
+        "entries": entries, "index": {at: np.array(ks) for at, ks in index.items()}, "by_gram": by_gram,
+        "marks": np.array([mark for *_, mark in entries], dtype=np.uint64), "weights": weights, "other": other, "known": known, "bits": bits,
         "holders": {g: sorted(s) for g, s in holders.items()}, "lengths": sorted({n for _, _, n, _ in prepared}),
     }
 
@@ -111,6 +122,18 @@ def _windows(index: dict, words: Words, hashes: np.ndarray) -> dict[tuple[int, i
     return windows
 
 
+def _candidates(index: dict, size: int, grams: np.ndarray, each: list[float]) -> list[int]:
+    """Items of the size that may be similar: within the radius, or, of a short size, with a shingle of the window."""
+    if size <= SHORT:
+        return sorted({k for g in grams.tolist() for k in index["by_gram"].get((size, g), ())})
+    fingerprint = simhash(grams, np.array(each))
+    met = [index["index"][size, *at] for at in _blocks(fingerprint) if (size, *at) in index["index"]]
+    if not met:
+        return []
+    ks = np.concatenate(met)
+    return sorted(set(ks[np.bitwise_count(index["marks"][ks] ^ np.uint64(fingerprint)) <= RADIUS].tolist()))
+
+
 def find_leaks(index: dict, words: Words, least: float) -> dict[int, dict[int, tuple[float, int]]]:
     """Per document: item -> (similarity, first word) of its most similar window, the first of equals."""
     hashes = words.hashes()
@@ -121,12 +144,8 @@ def find_leaks(index: dict, words: Words, least: float) -> dict[int, dict[int, t
         part = hashes[start : start + size]
         grams = np.unique(shingles_of(part, np.array([0, size]), n)[0])
         each = [weights.get(g, other) for g in grams.tolist()]
-        fingerprint = simhash(grams, np.array(each))
-        candidates = {k for block, value in _blocks(fingerprint) for k in index["index"].get((size, block, value), ())}
-        for k in sorted(candidates):
-            item_id, _, held, total, mark = index["entries"][k]
-            if (mark ^ fingerprint).bit_count() > RADIUS:
-                continue
+        for k in _candidates(index, size, grams, each):
+            item_id, _, held, total, _ = index["entries"][k]
             shared = sum(w for g, w in zip(grams.tolist(), each) if g in held)
             similarity = shared / (total + sum(each) - shared)
             best = found.setdefault(d, {})

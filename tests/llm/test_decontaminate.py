@@ -76,6 +76,30 @@ def test_recall_of_edited_items(spark):
     assert got <= want and len(got) >= 0.9 * len(want) and {(i, i) for i in range(60)} <= got
 
 
+def test_recall_of_items_at_the_least_similarity(spark):
+    """Items with one word changed, all matches at 0.80 to 0.85: none of 400 is lost."""
+    rng = random.Random(8)
+    items = [(i, " ".join(f"w{rng.randrange(30000)}" for _ in range(52 + i % 8))) for i in range(100)]
+    rows = []
+    for i in range(400):
+        w = items[i % 100][1].split()
+        at = rng.randrange(5, len(w) - 5)
+        around = [f"x{rng.randrange(10**6)}" for _ in range(10)]
+        rows.append((i, " ".join(around[:5] + w[:at] + ["new"] + w[at + 1 :] + around[5:])))
+    want = expected(rows, items)
+    assert len(want) > 300 and all(0.8 <= s < 0.85 for _, _, s, _ in want)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")) == want
+
+
+def test_short_items_with_a_common_end(spark):
+    """Four rare shingles and a common one that differs, which decides every bit on which the four are even."""
+    items = [(i, f"a{i} b{i} c{i} d{i} the right answer is {'yes' if i % 2 else 'no'}") for i in range(300)]
+    rows = [(i, f"x {t.rsplit(' ', 1)[0]} {'no' if i % 2 else 'yes'} y") for i, t in items]
+    want = expected(rows, items)
+    assert len(want) == 300
+    assert found(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")) == want
+
+
 def test_blocks_of_fingerprints_within_the_radius_meet():
     rng = random.Random(2)
     for _ in range(300):
