@@ -10,7 +10,9 @@ looked up by their shingles. Candidates are verified by the exact weighted Jacca
 are inverse document frequencies over the benchmark. A window that shares no shingle with any item of its size has
 similarity 0 and is not fingerprinted.
 
-The benchmark goes to the tasks in blocks of at most BLOCK items, whatever its size.
+The benchmark goes to the tasks in blocks of at most BLOCK items, whatever its size. Shingles are counted once over all of
+it, so the weights, and with them the similarities, do not depend on the blocks. The counted shingles (16 bytes each) and
+the blocks pass through the driver.
 
 Defined results: null or empty texts and items match nothing; equal items each match; repeated rows match alike; an empty
 benchmark or table gives no rows.
@@ -18,8 +20,12 @@ benchmark or table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,29 +58,59 @@ def _blocks(fingerprint: int) -> list[tuple[int, int]]:
     return [(b, fingerprint >> int(_EDGES[b]) & ((1 << int(_EDGES[b + 1] - _EDGES[b])) - 1)) for b in range(RADIUS + 1)]
 
 
-def benchmark_index(items: list[tuple[int, str]]) -> dict:
-    """Plain arrays and dictionaries, to be broadcast: sizes, shingle sets, weights, fingerprints and their blocks."""
-    prepared, seen_in = [], {}
+def _item_shingles(text: str | None) -> tuple[int, int, np.ndarray]:
+    """Words of an item, words of its shingles, and its distinct shingles."""
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    words = plain_words(raw, np.array([0, len(raw)]))
+    size = len(words.starts)
+    n = min(SHINGLE, size)
+    return size, n, np.unique(shingles_of(words.hashes(), words.first, n)[0]) if size else np.zeros(0, dtype=np.uint64)
+
+
+@dataclass(frozen=True)
+class Weights:
+    """Inverse document frequencies of the shingles of the whole benchmark, by sorted shingle; others have `other`."""
+
+    shingles: np.ndarray
+    values: np.ndarray
+    other: float
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        if not len(self.shingles):
+            return np.full(len(grams), self.other)
+        spot = np.minimum(np.searchsorted(self.shingles, grams), len(self.shingles) - 1)
+        return np.where(self.shingles[spot] == grams, self.values[spot], self.other)
+
+
+def shingle_weights(benchmark: DataFrame) -> Weights:
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                size, _, grams = _item_shingles(text)
+                if size:  # the null counts the items
+                    yield pa.RecordBatch.from_arrays([pa.array([None, *grams.view(np.int64).tolist()], pa.int64())], ["shingle"])
+
+    counts = benchmark.select("text").mapInArrow(shingles, "shingle long").groupBy("shingle").count().toArrow()
+    every, seen = counts.column("shingle"), counts.column("count").to_numpy()
+    item = every.is_null().to_numpy()
+    total, held = int(seen[item].sum()), every.drop_null().to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(held)
+    values = 1 + np.log((1 + total) / (1 + seen[~item]))
+    return Weights(held[order], values[order], float(1 + np.log(1 + total)))
+
+
+def benchmark_index(items: list[tuple[int, str]], weights: Weights) -> dict:
+    """Plain arrays and dictionaries, to be broadcast: sizes, shingle sets, fingerprints and their blocks."""
+    prepared = []
     for item_id, text in items:
-        raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
-        words = plain_words(raw, np.array([0, len(raw)]))
-        size = len(words.starts)
-        if size == 0:
-            continue
-        hashes = words.hashes()
-        n = min(SHINGLE, size)
-        grams = np.unique(shingles_of(hashes, words.first, n)[0])
-        prepared.append((item_id, size, n, grams))
-        for g in grams.tolist():
-            seen_in[g] = seen_in.get(g, 0) + 1
-    total = len(prepared)
-    weights = {g: float(1 + np.log((1 + total) / (1 + c))) for g, c in seen_in.items()}
-    other = float(1 + np.log(1 + total))
+        size, n, grams = _item_shingles(text)
+        if size:
+            prepared.append((item_id, size, n, grams))
     index: dict[tuple[int, int, int], list[int]] = {}
     by_gram: dict[tuple[int, int], list[int]] = {}
     entries, holders = [], {}
     for k, (item_id, size, n, grams) in enumerate(prepared):
-        w = np.array([weights[g] for g in grams.tolist()])
+        w = weights.of(grams)
         fingerprint = simhash(grams, w)
         entries.append((item_id, size, frozenset(grams.tolist()), float(w.sum()), fingerprint))
         if size <= SHORT:
@@ -85,12 +121,12 @@ def benchmark_index(items: list[tuple[int, str]]) -> dict:
                 index.setdefault((size, block, value), []).append(k)
         for g in grams.tolist():
             holders.setdefault(g, set()).add(size)
-    known = np.array(sorted(seen_in), dtype=np.uint64)
+    known = np.array(sorted(holders), dtype=np.uint64)
     bits = np.zeros(1 << _FILTER_BITS, dtype=bool)
     bits[(known & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
     return {
         "entries": entries, "index": {at: np.array(ks) for at, ks in index.items()}, "by_gram": by_gram,
-        "marks": np.array([mark for *_, mark in entries], dtype=np.uint64), "weights": weights, "other": other, "known": known, "bits": bits,
+        "marks": np.array([mark for *_, mark in entries], dtype=np.uint64), "known": known, "bits": bits,
         "holders": {g: sorted(s) for g, s in holders.items()}, "lengths": sorted({n for _, _, n, _ in prepared}),
     }
 
@@ -134,16 +170,15 @@ def _candidates(index: dict, size: int, grams: np.ndarray, each: list[float]) ->
     return sorted(set(ks[np.bitwise_count(index["marks"][ks] ^ np.uint64(fingerprint)) <= RADIUS].tolist()))
 
 
-def find_leaks(index: dict, words: Words, least: float) -> dict[int, dict[int, tuple[float, int]]]:
+def find_leaks(index: dict, weights: Weights, words: Words, least: float) -> dict[int, dict[int, tuple[float, int]]]:
     """Per document: item -> (similarity, first word) of its most similar window, the first of equals."""
     hashes = words.hashes()
     found: dict[int, dict[int, tuple[float, int]]] = {}
-    weights, other = index["weights"], index["other"]
     for d, size, start in sorted(_windows(index, words, hashes)):
         n = min(SHINGLE, size)
         part = hashes[start : start + size]
         grams = np.unique(shingles_of(part, np.array([0, size]), n)[0])
-        each = [weights.get(g, other) for g in grams.tolist()]
+        each = weights.of(grams).tolist()
         for k in _candidates(index, size, grams, each):
             item_id, _, held, total, _ = index["entries"][k]
             shared = sum(w for g, w in zip(grams.tolist(), each) if g in held)
@@ -161,26 +196,28 @@ _LEAK_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.floa
 def leaks(documents: DataFrame, benchmark: DataFrame, least: float = 0.8) -> Column:
     """The items that stand in the column `text`, as an array of (item_id, similarity, first_word), by item."""
     items = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text").orderBy("item_id", "text")
+    weights = shingle_weights(benchmark)
+    held = documents.sparkSession.sparkContext.broadcast(weights)
     found, block = [], []
     for row in items.toLocalIterator():
         block.append((row["item_id"], row["text"]))
         if len(block) == BLOCK:
-            found.append(_leaks_of(documents, block, least))
+            found.append(_leaks_of(documents, benchmark_index(block, weights), held, least))
             block = []
     if block or not found:
-        found.append(_leaks_of(documents, block, least))
+        found.append(_leaks_of(documents, benchmark_index(block, weights), held, least))
     return F.concat(*found)
 
 
-def _leaks_of(documents: DataFrame, items: list[tuple[int, str]], least: float) -> Column:
-    shared = documents.sparkSession.sparkContext.broadcast(benchmark_index(items))
+def _leaks_of(documents: DataFrame, index: dict, weights: Broadcast[Weights], least: float) -> Column:
+    shared = documents.sparkSession.sparkContext.broadcast(index)
 
     @F.arrow_udf(_LEAKS)
     def search(texts: pa.Array) -> pa.Array:
         out: list[list[dict]] = []
         for _, data, offsets in slices(pa.RecordBatch.from_arrays([texts], ["text"])):
             words = plain_words(data, offsets)
-            found = find_leaks(shared.value, words, least)
+            found = find_leaks(shared.value, weights.value, words, least)
             for d in range(len(words.counts)):
                 best = sorted(found.get(d, {}).items())
                 out.append([{"item_id": k, "similarity": s, "first_word": at} for k, (s, at) in best])

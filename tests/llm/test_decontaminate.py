@@ -139,3 +139,15 @@ def test_a_large_benchmark_is_searched_in_blocks(spark, monkeypatch, block):
     docs = spark.createDataFrame([(9, " ".join(t for _, t in items))], "doc_id long, text string")
     got = found(docs, spark.createDataFrame(items, "item_id long, text string"))
     assert [(r[1], r[3]) for r in got] == [(0, 0), (1, 6), (2, 12), (3, 18)]
+
+
+def test_similarities_do_not_depend_on_the_blocks(spark, monkeypatch):
+    """A common end that fills one block weighs the same in every block."""
+    rng = random.Random(6)
+    items = [(i, " ".join([f"w{rng.randrange(9999)}" for _ in range(20)] + (["end", "of", "all", "such", "items", "here"] if i < 5 else []))) for i in range(10)]
+    rows = [(i, " ".join([*t.split()[1:], "new"])) for i, t in items] + [(20 + i, "new " + " ".join(t.split()[1:])) for i, t in items]
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = expected(rows, items)
+    assert len(want) >= 10 and found(docs, benchmark) == want
+    monkeypatch.setattr(decontaminate, "BLOCK", 3)
+    assert found(docs, benchmark) == want
