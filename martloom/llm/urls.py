@@ -109,14 +109,20 @@ def _encode(keys: DataFrame, n: int, number: int, bits_per_key: float) -> tuple:
 
 
 def build_cascade(keys: DataFrame, bits_per_key: float = 6.0, max_bytes: int = 64 << 20) -> list[tuple] | None:
-    """Cascade over keys (h1, h2, listed), one row per key. None if its first two levels would exceed max_bytes."""
+    """Cascade over keys (h1, h2, listed), one row per key. None if its levels together would exceed max_bytes.
+
+    Every level is counted before it is encoded: level 2 holds some 6 % of all other keys, however few are listed.
+    """
     listed = keys.filter("listed")
-    n = listed.count()
+    n, held = listed.count(), 0.0
     if n * bits_per_key / 4 > max_bytes:
         return None
     levels: list[tuple] = []
     inside, outside = listed, keys.filter("NOT listed")
     while n:
+        held += n * bits_per_key / 8
+        if held > max_bytes:
+            return None
         levels.append(_encode(inside, n, len(levels) + 1, bits_per_key))
         passing = stored(outside.filter(_passes(outside, levels[-1])), "cascade-level")
         inside, outside = passing, inside

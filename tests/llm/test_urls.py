@@ -64,3 +64,14 @@ def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     listed = spark.createDataFrame([], "key string")
     assert urls.judge_urls(pages, URL_RULES, listed).count() == 0
+
+
+def test_few_listed_keys_among_many_are_joined_once_a_level_is_too_large(spark):
+    keys = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = keys.limit(10).cache()
+    h1, h2 = urls.hash_columns(F.col("key"))
+    table = keys.join(F.broadcast(listed.withColumn("listed", F.lit(True))), "key", "left")
+    table = table.select(h1.alias("h1"), h2.alias("h2"), F.coalesce("listed", F.lit(False)).alias("listed"))
+    assert urls.build_cascade(table, max_bytes=200) is None  # level 1 has 8 bytes, level 2 some 900
+    got = urls.mark_listed(keys, "key", listed, max_bytes=200)
+    assert got.count() == 20_000 and got.filter("listed").join(listed, "key").count() == got.filter("listed").count() == 10
