@@ -59,5 +59,33 @@ MIXING = """
     FROM rated"""
 
 
+FILL_IN_MIDDLE = """
+    WITH hashed AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS digest FROM documents
+    ), lined AS (
+        SELECT *, CAST('0x' || substr(digest, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(digest, 9, 8) AS BIGINT) AS h2,
+            CAST('0x' || substr(digest, 25, 8) AS BIGINT) AS h4,
+            regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines
+        FROM hashed
+    ), placed AS (
+        SELECT *, CAST(len(lines) AS BIGINT) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a,
+            greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b
+        FROM lined
+    ), parted AS (
+        SELECT *, array_to_string(list_slice(lines, 1, a), '') AS prefix, array_to_string(list_slice(lines, a + 1, b), '') AS middle,
+            array_to_string(list_slice(lines, b + 1, n), '') AS suffix,
+            CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+        FROM placed
+    )
+    SELECT doc_id, n, form,
+        CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM parted"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": URL_FILTER, "op3_mixing": MIXING}
+    return {"op1_url_filter": URL_FILTER, "op3_mixing": MIXING, "op13_fill_in_middle": FILL_IN_MIDDLE}

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from martloom.llm import decontaminate, imatch, langid, licenses, mixing, ngram_join, quality, substrings, toxicity, urls
+from martloom.llm import decontaminate, fim, imatch, langid, licenses, mixing, ngram_join, quality, secret_ledger, substrings, toxicity, urls
+from martloom.operators.scratch import fresh_folder
 
 URL_RULES = [
     urls.Rule(True, "org", "/"),
@@ -44,6 +45,30 @@ LICENSES = [
     ),
 ]
 
+BASE_SECRETS = [
+    secret_ledger.Rule(
+        "assign",
+        r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        group=2,
+        least=6,
+        any_case=True,
+        needles=("passw", "secret", "token", "api"),
+    ),
+    # runs are taken whole, so the least length may stand in the pattern
+    secret_ledger.Rule("access", r"AKIA[A-Z0-9]{16,}", needles=("akia",)),
+    secret_ledger.Rule("hex", r"(?<![0-9a-f])[0-9a-f]{24,}"),
+]
+SECRETS = [
+    *BASE_SECRETS,
+    secret_ledger.Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", needles=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
+    secret_ledger.Rule("slack", r"xox[abeoprs]-[A-Za-z0-9-]{10,}", needles=("xox",)),
+    secret_ledger.Rule("google", r"AIza[A-Za-z0-9_-]{35}", needles=("aiza",)),
+    secret_ledger.Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", needles=("eyj",)),
+    secret_ledger.Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", needles=("private key-----",)),
+    secret_ledger.Rule("login", r"[a-z][a-z0-9+.-]*://[^/\s:@]+:[^/\s:@]+@", needles=("://",)),
+    secret_ledger.Rule("bearer", r"bearer\x20+[A-Za-z0-9._~+/-]{16,}=*", any_case=True, needles=("bearer",)),
+]
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -92,6 +117,16 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leak_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    ledger = secret_ledger.BlobLedger(spark, fresh_folder(spark, "secrets"), SECRETS, ["doc_id"])
+    ledger.ingest(table(spark, folder, "documents"))
+    return secret_ledger.secret_report(ledger.findings(), BASE_SECRETS, SECRETS)
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.fim_report(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -108,5 +143,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_decontamination": op10_decontamination,
+        "op12_secret_scan": op12_secret_scan,
+        "op13_fill_in_middle": op13_fill_in_middle,
         "pipeline": pipeline,
     }

@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import re
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from martloom.llm import fim
+
+
+
+def cut(doc_id, text, unit=r"[^\n]*\n|[^\n]+"):
+    """Plain version: n, form, prefix, middle, suffix."""
+    text = text or ""
+    units = re.findall(unit, text)
+    digest = sha256(f"7:{'null' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    a, b = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+    form = "spm" if h[3] % 100 < 50 else "psm"
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")):
+        form = "plain"
+    return len(units), form, "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+
+
+def output(form, prefix, middle, suffix):
+    return {"plain": prefix + middle + suffix, "psm": f"<P>{prefix}<S>{suffix}<M>{middle}", "spm": f"<S>{suffix}<P>{prefix}<M>{middle}"}[form]
+
+
+def digest(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def expected(doc_id, text):
+    n, form, prefix, middle, suffix = cut(doc_id, text)
+    lengths = (None, None) if form == "plain" else (len(prefix), len(middle))
+    return (doc_id, n, form, *lengths, digest(output(form, prefix, middle, suffix)), digest(text or ""))
+
+
+def test_report_against_plain_version(spark):
+    texts = [
+        None, "", "\n", "\n\n\n", "one", "one\n", "a\nb\nc", "a\nb\nc\n", "é\n漢字\n😀 x\n\r\n end", "keeps <P> plain\nx", "<S", "<\n<S\nP>\n<M\n",
+        "line\n" * 5_000, "x" * 200_000, "\n" * 70_000 + "z", "😀\n" * 40_000, "tab\tonly", "\r\r\r",
+    ]
+    rows = [(i, t) for i, t in enumerate(texts * 6)] + [(None, "a\nb"), (None, "a\nb"), (5, "a\nb\nc"), (-3, "q\nr\ns\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("form", F.lit("x")).withColumn("cut", F.lit(1))
+    got = [tuple(r) for r in fim.fim_report(docs.repartition(3)).collect()]
+    assert sorted(got, key=repr) == sorted((expected(*r) for r in rows), key=repr)
+    forms = {r[2] for r in got}
+    assert forms == {"plain", "psm", "spm"}
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    report = fim.fim_report(docs)
+    assert report.count() == 0
+    assert report.columns == ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"]
+
+
+def test_rate_and_marks(spark):
+    docs = spark.createDataFrame([(i, "a\nb\nc\nd\n") for i in range(400)], "doc_id long, text string")
+    shares = {r["form"]: r["count"] for r in fim.fill_in_middle(docs, rate=50, spm=20).groupBy("form").count().collect()}
+    assert 150 < shares["plain"] < 250 and shares["spm"] < shares["psm"]
+    marks = fim.Marks("[pre]", "[suf]", "[mid]")
+    made = fim.fill_in_middle(docs, marks=marks).select(fim.restored(F.col("output"), F.col("form"), marks).alias("text"))
+    assert {r["text"] for r in made.collect()} == {"a\nb\nc\nd\n"}
+    with pytest.raises(ValueError):
+        fim.Marks("<a", "a<", "<m>")
+    with pytest.raises(ValueError):
+        fim.Marks("<a>", "<a>", "<m>")
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="a1 \n.!?é漢😀", max_size=90), min_size=1, max_size=8), st.sampled_from([fim.LINES, fim.SENTENCES, fim.WORDS]), st.integers(0, 2**32))
+def test_cuts_of_any_unit(texts, unit, h):
+    ends = {fim.LINES: r"\n", fim.SENTENCES: r"\n.!?", fim.WORDS: r"\n "}[unit]
+    h1 = (np.arange(len(texts)) * 7919 + h) % 2**32
+    h2 = (np.arange(len(texts)) * 104729 + h // 3) % 2**32
+    n, first, second = fim.cuts_of(texts, unit, h1, h2)
+    for i, text in enumerate(texts):
+        units = re.findall(f"[^{ends}]*[{ends}]|[^{ends}]+", text)
+        a, b = sorted((int(h1[i]) % (len(units) + 1), int(h2[i]) % (len(units) + 1)))
+        assert (n[i], first[i], second[i]) == (len(units), len("".join(units[:a])), len("".join(units[:b])))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 6), max_size=400))
+def test_rank_and_select(classes):
+    array = np.array(classes, dtype=np.uint8)
+    matrix = fim.WaveletMatrix(array)
+    places = np.arange(len(array) + 1)
+    for kind in range(7):
+        hits = np.flatnonzero(array == kind)
+        assert (matrix.rank(kind, places) == np.searchsorted(hits, places)).all()
+        assert (matrix.select(kind, np.arange(len(hits))) == hits).all()
