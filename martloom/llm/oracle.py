@@ -87,5 +87,44 @@ FILL_IN_MIDDLE = """
     FROM parted"""
 
 
+COLLOCATIONS = """
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+            unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), worded AS (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+    ), starts AS (
+        SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+    ), grams AS (
+        SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+        FROM starts, (VALUES (1), (2), (3), (4)) AS orders(k) WHERE i + k - 1 <= len(w)
+    ), totals AS (
+        SELECT lang, count(*) AS n FROM grams WHERE k = 1 GROUP BY lang
+    ), counts AS (
+        SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 30
+    ), cuts AS (
+        SELECT lang, phrase, k, f, string_split(phrase, ' ') AS w, c FROM counts, (VALUES (1), (2), (3)) AS places(c) WHERE c < k
+    ), sides AS (
+        SELECT lang, phrase, k, f, c, array_to_string(list_slice(w, 1, c), ' ') AS x, array_to_string(list_slice(w, c + 1, k), ' ') AS y FROM cuts
+    ), scored AS (
+        SELECT s.*, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * s.f // (x.f + y.f) AS BIGINT) AS score
+        FROM sides AS s JOIN counts AS x ON x.lang = s.lang AND x.phrase = s.x JOIN counts AS y ON y.lang = s.lang AND y.phrase = s.y
+    ), lowest AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+    ), covers AS (
+        SELECT lang, part, max(f) AS cover FROM (
+            SELECT lang, x AS part, f FROM sides WHERE c = k - 1 UNION ALL SELECT lang, y, f FROM sides WHERE c = 1
+        ) GROUP BY lang, part
+    ), ranked AS (
+        SELECT s.lang, s.phrase, s.f AS a, s.l, s.r, s.score,
+            row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.f DESC, s.phrase) AS rank
+        FROM lowest AS s LEFT JOIN covers AS c ON c.lang = s.lang AND c.part = s.phrase
+        WHERE c.cover IS NULL OR CAST(100 AS HUGEINT) * c.cover < CAST(80 AS HUGEINT) * s.f
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": URL_FILTER, "op3_mixing": MIXING, "op13_fill_in_middle": FILL_IN_MIDDLE}
+    return {"op1_url_filter": URL_FILTER, "op3_mixing": MIXING, "op11_collocations": COLLOCATIONS, "op13_fill_in_middle": FILL_IN_MIDDLE}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from martloom.llm import decontaminate, fim, imatch, langid, licenses, mixing, ngram_join, quality, secret_ledger, substrings, toxicity, urls
+from martloom.llm import collocations, decontaminate, fim, imatch, langid, licenses, mixing, ngram_join, quality, secret_ledger, substrings, toxicity, urls
 from martloom.operators.scratch import fresh_folder
 
 URL_RULES = [
@@ -117,6 +117,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leak_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     ledger = secret_ledger.BlobLedger(spark, fresh_folder(spark, "secrets"), SECRETS, ["doc_id"])
     ledger.ingest(table(spark, folder, "documents"))
@@ -143,6 +147,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_decontamination": op10_decontamination,
+        "op11_collocations": op11_collocations,
         "op12_secret_scan": op12_secret_scan,
         "op13_fill_in_middle": op13_fill_in_middle,
         "pipeline": pipeline,

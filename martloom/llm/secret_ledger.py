@@ -32,8 +32,8 @@ from martloom.operators.files import read_text, replace_text
 
 SPANS = "array<struct<rule: string, start: int, end: int>>"
 SCANS = f"blob binary, rules array<string>, spans {SPANS}"
-#: New blobs of a commit up to which their ids are broadcast (some 100 bytes each), so that texts already read stay where they are.
-FEW = 500_000
+#: New blobs of a commit up to which their ids are broadcast (some 250 bytes each), so that texts already read stay where they are.
+FEW = 50_000
 
 
 @dataclass(frozen=True)
