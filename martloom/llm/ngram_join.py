@@ -15,8 +15,10 @@ size, broadcast. Any order gives the same result; a rarer-first order gives fewe
 
 A group of near copies would give all its pairs. So first every class meets just two classes of each of its n-grams' groups,
 chosen by hash in one of CHOICES ways; what that links forms components; only pairs of classes in different components are then enumerated. Links
-inside a component change nothing about the components, so the result is that of all pairs. Hot n-grams are combined
-before the shuffle, and the joins on them can be split by adaptive execution.
+inside a component change nothing about the components, so the result is that of all pairs. Such a pair is emitted at its
+first common n-gram: every row carries the LATEST shared n-grams before its own, and rows that have one of those in common
+are not joined. (Only behind a gap of more than LATEST is a pair met again, and made one afterwards.) Hot n-grams are
+combined before the shuffle, and the joins on them can be split by adaptive execution.
 
 Defined results: words are `[^\\x20\\x09-\\x0D]+` after A-Z are lower-cased; fewer than n words make one n-gram; no words, or
 a null text, make an empty set, linked with nothing. Rows with equal ids count as rows; the id of a component is the
@@ -29,9 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.llm.bits import bit_filter, in_filter
 from martloom.llm.components import components
 from martloom.llm.storage import stored
 from martloom.llm.texts import Words, gram_hashes, kept_offsets, mix, ranged_hash, signed, word_runs
@@ -40,6 +43,8 @@ BUCKETS = 1 << 18
 SKETCH = 8
 #: Ways to choose the two classes that the others of an n-gram's group meet first; n-grams are dealt among them.
 CHOICES = 16
+#: Shared n-grams of a class that a row of the last join carries; they bound its size, not the result.
+LATEST = 16
 #: Bits of the broadcast filters of shared n-grams and of classes to be verified. Their size is fixed; with more entries
 #: than bits they let more rows through to the joins behind them, which are exact.
 SHARED_BITS = 1 << 25
@@ -144,24 +149,6 @@ def _profiles(documents: DataFrame, n: int) -> DataFrame:
     return documents.mapInArrow(profile, schema)
 
 
-def _bit_filter(hashes: DataFrame, size: int) -> np.ndarray:
-    """Bits set at the low ends of the 64-bit hashes in the one column of a table."""
-    spot = F.col(hashes.columns[0])
-    words = hashes.select(
-        F.shiftright(spot.bitwiseAND(F.lit(size - 1)), 6).cast("int").alias("at"),
-        F.call_function("shiftleft", F.lit(1).cast("long"), spot.bitwiseAND(F.lit(63)).cast("int")).alias("bit"),
-    )
-    held = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most size / 64 rows
-    bits = np.zeros(size // 64, dtype=np.int64)
-    bits[held.column("at").to_numpy()] = held.column("bits").to_numpy()
-    return bits
-
-
-def _in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    low = hashes & (64 * len(bits) - 1)
-    return (bits[low >> 6] >> (low & 63) & 1).astype(bool)
-
-
 def _prefixes(documents: DataFrame, n: int, percent: int, counts, shared=None) -> DataFrame:
     """(gram, class, size, place) of the rarest n-grams of each class; a class at most once per task.
 
@@ -184,7 +171,7 @@ def _prefixes(documents: DataFrame, n: int, percent: int, counts, shared=None) -
                 within = fresh[sets.docs] & (place < prefix_length(sets.sizes, percent)[sets.docs])
                 grams = signed(sets.values[order])
                 if shared is not None:
-                    within &= _in_filter(shared.value, grams)
+                    within &= in_filter(shared.value, grams)
                 docs = sets.docs[within]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -206,7 +193,7 @@ def _sets_of(documents: DataFrame, n: int, needed: DataFrame) -> DataFrame:
     sets that are asked for by nobody, or twice.
     """
     spot = F.col("class").bitwiseXOR(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
-    shared = documents.sparkSession.sparkContext.broadcast(_bit_filter(needed.select(spot.alias("spot")), FILTER_BITS))
+    shared = documents.sparkSession.sparkContext.broadcast(bit_filter(needed.select(spot.alias("spot")), FILTER_BITS))
 
     def sets_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,7 +201,7 @@ def _sets_of(documents: DataFrame, n: int, needed: DataFrame) -> DataFrame:
             for rows, words in word_runs(batch, lower=True):
                 sets = GramSets(words, n)
                 classes = sets.classes()
-                wanted = np.flatnonzero(_in_filter(shared.value, classes ^ ids[rows]) & (sets.sizes > 0))
+                wanted = np.flatnonzero(in_filter(shared.value, classes ^ ids[rows]) & (sets.sizes > 0))
                 grams = [signed(sets.values[sets.offsets[d] : sets.offsets[d + 1]]) for d in wanted]
                 yield pa.RecordBatch.from_arrays([pa.array(classes[wanted]), pa.array(grams, pa.list_(pa.int64()))], ["class", "grams"])
 
@@ -266,7 +253,7 @@ def link_classes(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     groups = prefixes.groupBy("gram").agg(F.min(turned).alias("low"), F.max(turned).alias("high")).filter("low < high")
     back = lambda c: F.col(c).bitwiseXOR(way)
     groups = stored(groups.select("gram", back("low").alias("low"), back("high").alias("high")), "groups")
-    shared = documents.sparkSession.sparkContext.broadcast(_bit_filter(groups.select("gram"), SHARED_BITS))
+    shared = documents.sparkSession.sparkContext.broadcast(bit_filter(groups.select("gram"), SHARED_BITS))
     members = stored(_prefixes(documents, n, percent, counts, shared).join(groups, "gram"), "members")
 
     known = classes.drop("doc_id", "wide")
@@ -279,7 +266,9 @@ def link_classes(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     placed = members.select("gram", "class", "size", "place").join(roots.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.withColumn("root", F.coalesce("root", "class"))
     mixed = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("gram")
-    open_ = stored(placed.join(mixed, "gram", "left_semi").distinct().join(known.drop("size"), "class"), "open")
+    latest = Window.partitionBy("class").orderBy("place").rowsBetween(-LATEST, -1)
+    placed = placed.join(mixed, "gram", "left_semi").distinct().withColumn("before", F.collect_list("gram").over(latest))
+    open_ = stored(placed.join(known.drop("size"), "class"), "open")
     x, y = F.col("x.size").cast("long"), F.col("y.size").cast("long")
     least = F.ceil((x + y) * percent / F.lit(100.0 + percent) - F.lit(1e-9))
     index_prefix = x - F.ceil(x * 2 * percent / F.lit(100.0 + percent) - F.lit(1e-9)) + 1
@@ -291,6 +280,7 @@ def link_classes(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame,
         (F.col("x.gram") == F.col("y.gram"))
         & (F.col("x.root") != F.col("y.root"))
         & ordered
+        & ~F.arrays_overlap("x.before", "y.before")
         & (i < index_prefix)
         & (may_share >= least)
         & _may_link(percent, "x", "y"),
