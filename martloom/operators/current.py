@@ -13,9 +13,9 @@ def current_rows(df: DataFrame, key: str, newest_by: Iterable[str | Column], del
 
     Versions are reduced on the map side, so one shuffle carries at most a row per key and task, however many
     versions a key has. Rows without a key identify nothing and are left out. Versions that are equal in
-    `newest_by` are told apart by their contents, so every run picks the same one.
+    `newest_by` are told apart by a 64-bit hash of their contents, so every run picks the same one.
     """
     row = F.struct(*df.columns)
-    newest = F.max_by(row, F.struct(*newest_by, F.to_json(row)))
+    newest = F.max_by(row, F.struct(*newest_by, F.xxhash64(*df.columns)))
     current = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(newest.alias("_row")).select("_row.*")
     return current if deleted is None else current.filter(~F.coalesce(deleted, F.lit(False)))
