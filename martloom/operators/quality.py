@@ -63,16 +63,28 @@ def require_passed(checks: DataFrame, severity: str = "error") -> None:
 # rows that break a rule (keep them, or count them with `count_violations`)
 
 
+def in_future(moment: str, params: Params) -> Column:
+    return F.col(moment) > now(params)
+
+
+def mismatched_revenue() -> Column:
+    return (F.col("order_status") == "completed") & (F.col("net_revenue") != F.col("order_amount"))
+
+
+def malformed(email: str) -> Column:
+    return ~F.col(email).like("%@%.%")
+
+
 def future_rows(df: DataFrame, moment: str, params: Params) -> DataFrame:
-    return df.filter(F.col(moment) > now(params))
+    return df.filter(in_future(moment, params))
 
 
 def revenue_mismatches(orders: DataFrame) -> DataFrame:
-    return orders.filter((F.col("order_status") == "completed") & (F.col("net_revenue") != F.col("order_amount")))
+    return orders.filter(mismatched_revenue())
 
 
 def malformed_emails(df: DataFrame, email: str = "email") -> DataFrame:
-    return df.filter(~F.col(email).like("%@%.%"))
+    return df.filter(malformed(email))
 
 
 def negative_values(df: DataFrame, column: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -49,6 +49,12 @@ def overwrite_table(df: DataFrame, table: str, order_by: Iterable[str] = (), fmt
     sorted_by(df, order_by).write.format(fmt).mode("overwrite").saveAsTable(table)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """A catalog table in `buckets` parts by a hash of the key, each sorted by it: tables that share key and number of
+    parts are joined, and grouped by the key, without a shuffle. One task per part and range of rows writes."""
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
+
+
 # folders
 
 
@@ -65,16 +71,33 @@ def sorted_by(df: DataFrame, order_by: Iterable[str]) -> DataFrame:
 CURRENT = "_current"
 
 
-def publish_files(df: DataFrame, path: str, order_by: Iterable[str] = (), fmt: str = "parquet", ranged: bool = True) -> DataFrame:
+def publish_files(
+    df: DataFrame,
+    path: str,
+    order_by: Iterable[str] = (),
+    fmt: str = "parquet",
+    ranged: bool = True,
+    measures: Mapping[str, Column] | None = None,
+    measured: dict[str, object] | None = None,
+) -> DataFrame:
     """Write a new version of a table below `path`, switch to it, and read it back.
 
+    `measures` are aggregates taken from the rows as they are written, without a scan of their own; their values are put
+    into `measured`.
+
     The old version stays readable until the new one is complete; a failed run leaves it in place. The version
     before the last is deleted. ranged=False sorts a small table within its partitions, without a range shuffle.
     """
     spark, keys = df.sparkSession, list(order_by)
     version, before = f"version={uuid.uuid4().hex}", read_text(spark, f"{path}/{CURRENT}")
     rows = sorted_by(df, keys) if ranged else (df.coalesce(1).sortWithinPartitions(*keys) if keys else df)
+    if measures:
+        # observed behind the range shuffle, whose sampling runs what lies before it a second time
+        observation = Observation()
+        rows = rows.observe(observation, *[column.alias(name) for name, column in measures.items()])
     rows.write.format(fmt).save(f"{path}/{version}")
+    if measures and measured is not None:
+        measured.update(observation.get)
     kept = before.split("\n") if before else []
     replace_text(spark, f"{path}/{CURRENT}", "\n".join([version, *kept[:1]]))
     for old in kept[1:]:
@@ -90,6 +113,30 @@ def read_published(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return spark.read.format(fmt).load(f"{path}/{versions.split(chr(10))[0]}")
 
 
+RANGES = "_ranges"
+
+
+def publish_ranges(spark: SparkSession, path: str, columns: Iterable[str], fmt: str = "parquet") -> None:
+    """Store the least and greatest value of some columns in every file of a table's current version."""
+    version = read_text(spark, f"{path}/{CURRENT}").split("\n")[0]
+    files = spark.read.format(fmt).load(f"{path}/{version}").groupBy(F.col("_metadata.file_path").alias("file"))
+    bounds = [f(name).alias(f"{side}_{name}") for name in columns for side, f in (("least", F.min), ("greatest", F.max))]
+    files.agg(*bounds).write.mode("overwrite").parquet(f"{path}/{RANGES}/{version}")
+
+
+def look_up(spark: SparkSession, path: str, column: str, values: Iterable[object], fmt: str = "parquet") -> DataFrame:
+    """The rows of a table's current version with one of a few values of a column; only files whose range may hold
+    one are listed and read. Names of those files reach the driver."""
+    version, wanted = read_text(spark, f"{path}/{CURRENT}").split("\n")[0], list(values)
+    ranges = spark.read.parquet(f"{path}/{RANGES}/{version}")
+    may_hold = F.exists(F.array(*map(F.lit, wanted)), lambda v: v.between(F.col(f"least_{column}"), F.col(f"greatest_{column}")))
+    files = [row.file for row in ranges.filter(may_hold).select("file").collect()] if wanted else []
+    whole = read_published(spark, path, fmt)
+    if not files:
+        return whole.limit(0)
+    return spark.read.schema(whole.schema).format(fmt).load(files).filter(F.col(column).isin(wanted))
+
+
 def write_by_day(df: DataFrame, path: str, moment: str, mode: str = "append", fmt: str = "parquet") -> None:
     """One folder per day of `moment`. The rebalance hint gathers each day in few files and, through
     adaptive execution, splits a day that is too large for one task."""

@@ -274,6 +274,14 @@ SELECT p.payment_id, p.order_id, f.customer_id, f.customer_name, f.customer_tier
     CASE p.payment_status WHEN 'completed' THEN 1 ELSE 0 END AS is_successful_payment,
     p.loaded_at AS source_loaded_at, as_of AS dbt_loaded_at
 FROM t_payments p CROSS JOIN params LEFT JOIN fct f ON f.order_id = p.order_id"""
+_DAILY = """
+SELECT order_date, order_year, order_month, count(order_id) AS daily_orders,
+    count(DISTINCT customer_id) AS daily_customers, CAST(sum(net_revenue) AS DOUBLE) AS daily_revenue,
+    CAST(sum(net_revenue) AS DOUBLE) / count(net_revenue) AS avg_order_value,
+    CAST(sum(CASE WHEN customer_tier = 'VIP' THEN net_revenue ELSE 0 END) AS DOUBLE) AS vip_revenue,
+    CAST(sum(CASE WHEN customer_tier = 'Premium' THEN net_revenue ELSE 0 END) AS DOUBLE) AS premium_revenue,
+    max(dbt_loaded_at) AS dbt_loaded_at
+FROM fct WHERE order_status = 'completed' GROUP BY order_date, order_year, order_month"""
 _GEOGRAPHY = """
 SELECT continent, continent_group, region, country_code, country_name, economic_tier,
     count(customer_id) AS total_customers, count(customer_id) FILTER (WHERE total_orders > 0) AS active_customers,
@@ -308,14 +316,7 @@ def oracle_sql() -> dict[str, str]:
         "dim_customers_enriched": _sql(_doubles("dim_geo", "total_spent")),
         "fct_orders": _sql(fct),
         "fct_orders_any_ids": _sql(fct),
-        "fct_daily_sales": _sql("""
-SELECT order_date, order_year, order_month, count(order_id) AS daily_orders,
-    count(DISTINCT customer_id) AS daily_customers, CAST(sum(net_revenue) AS DOUBLE) AS daily_revenue,
-    CAST(sum(net_revenue) AS DOUBLE) / count(net_revenue) AS avg_order_value,
-    CAST(sum(CASE WHEN customer_tier = 'VIP' THEN net_revenue ELSE 0 END) AS DOUBLE) AS vip_revenue,
-    CAST(sum(CASE WHEN customer_tier = 'Premium' THEN net_revenue ELSE 0 END) AS DOUBLE) AS premium_revenue,
-    max(dbt_loaded_at) AS dbt_loaded_at
-FROM fct WHERE order_status = 'completed' GROUP BY order_date, order_year, order_month"""),
+        "fct_daily_sales": _sql(_DAILY),
         "fct_payments": _sql(_FCT_PAYMENTS),
         "customer_metrics": _sql(_METRICS),
         "customer_metrics_early": _sql(_METRICS, as_of=EARLY_AS_OF),
@@ -432,6 +433,56 @@ SELECT table_name, row_count FROM (
                 "max(order_date)", f"max(order_date) + {HOLIDAY_SHIFT}"
             )
         ),
+        "sink_measured_checks": _sql(
+            " UNION ALL ".join(
+                [
+                    _check("future_orders", "SELECT count(*) FROM fct, params WHERE ordered_at > as_of"),
+                    _check("revenue_mismatch", _REVENUE_MISMATCHES),
+                    _INVALID_EMAILS,
+                    _check("row_floor:dim_customers", f"SELECT greatest({ROW_FLOORS['dim_customers']} - count(*), 0) FROM dim_out"),
+                    _check("row_floor:fct_orders", f"SELECT greatest({ROW_FLOORS['fct_orders']} - count(*), 0) FROM fct"),
+                ]
+            ),
+            as_of=EARLY_AS_OF,
+        ),
+        "bucketed_order_payments": _sql(_doubles("orders_paid", "order_amount", "total_paid_amount")),
+        "bucketed_fct_payments": _sql(_FCT_PAYMENTS),
+        "customer_look_up": _sql(
+            _doubles("dim_out", "total_spent")
+            + " WHERE customer_id IN (SELECT unnest([min(customer_id), (min(customer_id) + max(customer_id)) // 2, max(customer_id)]) FROM dim_out)"
+        ),
+        "cdc_parse_binary": _sql(f"SELECT {_PARSED}, op FROM cdc"),
+        "cdc_redelivered": _captured("orders"),
+        "cdc_empty_batch": _captured("orders"),
+        "cdc_reject_counts": """
+SELECT CASE WHEN event_id % 5 = 0 THEN 'not json' WHEN event_id % 11 = 0 THEN 'unknown operation'
+    WHEN event_id % 7 = 0 THEN 'no operation' WHEN event_id % 13 = 0 THEN 'no table' WHEN event_id % 23 = 0 THEN 'no row'
+    WHEN event_id % 17 = 0 THEN 'amount' WHEN event_id % 19 = 0 THEN 'time' ELSE 'accepted' END AS reason,
+    count(*) AS records
+FROM events GROUP BY reason""",
+        "cdc_unknown_fields": """
+SELECT event_id AS id, 'coupon' AS field, 'c' || event_id AS content FROM events
+WHERE event_id % 6 = 0 AND event_id % 5 <> 0 AND event_id % 23 <> 0""",
+        "captured_compacted": _sql(f"SELECT {_CAPTURED['orders'].replace('ts AS created_at', 'CAST(NULL AS TIMESTAMP) AS created_at')}"
+            " FROM cdc, range(2) WHERE tab = 'orders'"),
+        "current_after_key_deletes": _sql(_doubles("src_orders", "amount"), sources=_CAPTURED_SOURCES),
+        "current_orders_refreshed": _sql(_doubles("src_orders", "amount"), sources=_CAPTURED_SOURCES),
+        "current_orders_partly_refreshed": _sql(_doubles("src_orders", "amount"), sources=_CAPTURED_SOURCES),
+        "refreshed_fct_orders": _sql(fct, as_of=CAPTURED_AS_OF, sources=_CAPTURED_SOURCES),
+        "refreshed_fct_payments": _sql(_FCT_PAYMENTS, as_of=CAPTURED_AS_OF, sources=_CAPTURED_SOURCES),
+        "refreshed_fct_daily_sales": _sql(_DAILY, as_of=CAPTURED_AS_OF, sources=_CAPTURED_SOURCES),
+        "customers_by_month": _sql(
+            "SELECT order_year, order_month, count(DISTINCT customer_id) AS monthly_customers FROM fct"
+            " WHERE order_status = 'completed' GROUP BY order_year, order_month"
+        ),
+        "customers_by_day": _sql(
+            "SELECT order_date, count(DISTINCT customer_id) AS daily_customers FROM fct WHERE order_status = 'completed' GROUP BY order_date"
+        ),
+        "orders_before_now": _sql("SELECT order_id, order_date FROM t_orders"),
+        "values_and_view": _sql("""
+SELECT CASE order_status WHEN 'completed' THEN 'done' ELSE 'open' END AS label, count(*) AS orders,
+    CAST(sum(order_amount) AS DOUBLE) AS amount
+FROM t_orders WHERE order_status IN ('completed', 'pending', 'shipped') GROUP BY label"""),
         "table_counts": _sql("""
 SELECT 'customers' AS table_name, count(*) AS row_count FROM src_customers
 UNION ALL SELECT 'orders', count(*) FROM src_orders"""),

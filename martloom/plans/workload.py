@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +15,13 @@ from pyspark.sql.types import DecimalType
 from martloom import schemas
 from martloom.functions.calendar import date_range, with_calendar
 from martloom.functions.cleaning import with_defaults
+from martloom.functions.segments import is_completed
+from martloom.functions.times import ago
 from martloom.operators import quality, sinks
+from martloom.operators.distinct import distinct_counts, distinct_states
 from martloom.operators.scratch import fresh_folder
 from martloom.plans import checks
+from martloom.plans.refresh import marts_over, refresh_captured
 from martloom.plans.warehouse import Warehouse
 from martloom.sources.sample import (
     SAMPLE_PARAMS,
@@ -25,14 +29,23 @@ from martloom.sources.sample import (
     envelope_feed,
     event_stream,
     events,
+    faulty_feed,
     odd_times_feed,
     record_feed,
     sample_sources,
     versioned_feed,
 )
 from martloom.sources.tables import list_tables, preview, read_csv, read_files, read_table, row_counts
-from martloom.streaming.changes import parse_envelopes, parse_records
-from martloom.streaming.router import captured_between, captured_sources, read_captured, read_current, start_capture
+from martloom.streaming.changes import each_once, parse_envelopes, parse_records, rejected_envelopes, unknown_fields
+from martloom.streaming.router import (
+    captured_between,
+    captured_sources,
+    compact_day,
+    read_captured,
+    read_current,
+    refresh_current,
+    start_capture,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +73,8 @@ LATE_START = datetime(1998, 1, 1)
 EARLY_AS_OF = datetime(1999, 1, 1)
 # The end of the sample's events, and days within them.
 CAPTURED_AS_OF = datetime(2024, 2, 1)
+# Parts of stored tables of the sample's size.
+SAMPLE_BUCKETS = 4
 SOME_DAYS = (datetime(2024, 1, 10, 6), datetime(2024, 1, 13))
 # Moves the sample's years over those that have holidays.
 HOLIDAY_SHIFT = 8401
@@ -185,6 +200,39 @@ def _stored_marts(spark: SparkSession, folder: str) -> DataFrame:
     return sample_warehouse(spark, folder, root=fresh_folder(spark, "marts")).run(gate="error")
 
 
+def _measured_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The marts' checks, measured while all marts are written."""
+    w = sample_warehouse(spark, folder, root=fresh_folder(spark, "marts"), as_of=EARLY_AS_OF)
+    w.run(gate="error")
+    return checks.measured_checks(w)
+
+
+def bucketed_warehouse(spark: SparkSession, folder: str, lake: str) -> Warehouse:
+    """The sample with orders and payments stored in parts by order: they meet without a shuffle."""
+    plain = sample_warehouse(spark, folder)
+    for name, key in (("orders", "id"), ("payments", "order_id")):
+        sinks.write_bucketed(plain.source(name), f"{lake}.by_order_{name}", key, SAMPLE_BUCKETS)
+    by_order = {name: (lambda spark, name=name: read_table(spark, f"{lake}.by_order_{name}")) for name in ("orders", "payments")}
+    return Warehouse(spark, sample_sources(folder) | by_order, SAMPLE_PARAMS)
+
+
+def _bucketed(name: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        with _lake(spark) as lake:
+            return _kept(money_as_double(bucketed_warehouse(spark, folder, lake).ref(name)))
+
+    return query
+
+
+def _look_up(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers looked up by id in the stored dimension: the first and the last one, and the one between."""
+    w, path = sample_warehouse(spark, folder), fresh_folder(spark, "dimension")
+    sinks.publish_files(w.ref("dim_customers"), path, ["customer_id"])
+    sinks.publish_ranges(spark, path, ["customer_id"])
+    first, last = sinks.read_published(spark, path).agg(F.min("customer_id"), F.max("customer_id")).first()
+    return money_as_double(sinks.look_up(spark, path, "customer_id", [first, (first + last) // 2, last]))
+
+
 def _stored(name: str) -> Query:
     """The contents of a mart as they were written and read back."""
     return lambda spark, folder: money_as_double(sample_warehouse(spark, folder, root=fresh_folder(spark, "marts")).ref(name))
@@ -288,6 +336,119 @@ def _orders_of_days(spark: SparkSession, folder: str) -> DataFrame:
     return money_as_double(captured_between(spark, f"{root}/lake", "orders", *SOME_DAYS))
 
 
+def _redelivered(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed that brings every record twice."""
+    root, twice = fresh_folder(spark, "capture"), event_stream(spark, folder).unionByName(event_stream(spark, folder))
+    changes = parse_envelopes(each_once(envelope_feed(twice), by=("topic", "key")))
+    start_capture(changes, f"{root}/lake", f"{root}/progress").awaitTermination()
+    return money_as_double(read_captured(spark, f"{root}/lake", "orders"))
+
+
+def _empty_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream whose batch has no row, then one with all rows."""
+    root = fresh_folder(spark, "capture")
+    for run, some in enumerate((event_stream(spark, folder).filter("event_id < 0"), event_stream(spark, folder))):
+        start_capture(parse_envelopes(envelope_feed(some)), f"{root}/lake", f"{root}/progress-{run}").awaitTermination()
+    return money_as_double(read_captured(spark, f"{root}/lake", "orders"))
+
+
+def _compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams bring the same changes without a time; the small folders of such rows are merged."""
+    root = fresh_folder(spark, "capture")
+    for run in range(2):
+        timeless = parse_envelopes(envelope_feed(event_stream(spark, folder))).withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
+        start_capture(timeless, f"{root}/lake", f"{root}/progress-{run}").awaitTermination()
+    compact_day(spark, f"{root}/lake", "orders", None)
+    return money_as_double(read_captured(spark, f"{root}/lake", "orders"))
+
+
+def _key_deletes(spark: SparkSession, folder: str) -> DataFrame:
+    """The current orders where deletes have a key and no image of the row."""
+    root = fresh_folder(spark, "capture")
+    changes = parse_envelopes(versioned_feed(event_stream(spark, folder), images=False), deletes=True)
+    start_capture(changes, f"{root}/lake", f"{root}/progress").awaitTermination()
+    return money_as_double(read_current(spark, f"{root}/lake", "orders"))
+
+
+def _capture_in_parts(spark: SparkSession, folder: str, after_each: Callable[[str], object]) -> str:
+    """Two captures into one lake, of two thirds and of one third of the changes, and something done after each."""
+    root = fresh_folder(spark, "capture")
+    for run, some in enumerate(("event_id % 3 <> 0", "event_id % 3 = 0")):
+        changes = parse_envelopes(versioned_feed(event_stream(spark, folder).filter(some)), deletes=True)
+        start_capture(changes, f"{root}/lake", f"{root}/progress-{run}").awaitTermination()
+        after_each(f"{root}/lake")
+    return f"{root}/lake"
+
+
+def _current_in_parts(refreshes: int) -> Query:
+    """The current orders after two captures; refreshed after both, or only after the first."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        left = iter(range(refreshes))
+        lake = _capture_in_parts(spark, folder, lambda lake: next(left, None) is None or refresh_current(spark, lake, "orders", SAMPLE_BUCKETS))
+        return money_as_double(read_current(spark, lake, "orders"))
+
+    return query
+
+
+def _refreshed(name: str) -> Query:
+    """A mart that was built after the first capture and refreshed after the second."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        root, params = fresh_folder(spark, "marts"), replace(SAMPLE_PARAMS, as_of=CAPTURED_AS_OF)
+        lake = _capture_in_parts(spark, folder, lambda lake: refresh_captured(spark, lake, marts_over(spark, lake, root, params, SAMPLE_BUCKETS), SAMPLE_BUCKETS))
+        return money_as_double(marts_over(spark, lake, root, params).read(name))
+
+    return query
+
+
+def _customers_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct customers of each month, from stored bitmaps of its days."""
+    path = fresh_folder(spark, "states")
+    orders = sample_warehouse(spark, folder).ref("fct_orders").filter(is_completed(F.col("order_status")))
+    distinct_states(orders, "customer_id", "order_date", "order_year", "order_month").write.parquet(path)
+    return distinct_counts(read_files(spark, path), "monthly_customers", "order_year", "order_month")
+
+
+def _customers_by_day(w: Warehouse) -> DataFrame:
+    orders = w.ref("fct_orders").filter(is_completed(F.col("order_status")))
+    return distinct_counts(distinct_states(orders, "customer_id", "order_date"), "daily_customers", "order_date")
+
+
+def _reject_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Records by reason of rejection; those without one are accepted. The numbers add up to the feed."""
+    feed = faulty_feed(events(spark, folder))
+    rejected = rejected_envelopes(feed).select("key", "reason")
+    return feed.join(rejected, "key", "left").groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count(F.lit(1)).alias("records"))
+
+
+def _unknown_fields(spark: SparkSession, folder: str) -> DataFrame:
+    found = unknown_fields(faulty_feed(events(spark, folder)))
+    return found.select(F.col("key").cast("bigint").alias("id"), F.explode("fields").alias("field", "content"))
+
+
+def _parse_binary(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys and values as brokers deliver them."""
+    feed = envelope_feed(events(spark, folder))
+    binary = feed.withColumns({name: F.col(name).cast("binary") for name in ("key", "value")})
+    return money_as_double(parse_envelopes(binary))
+
+
+def orders_before_now(w: Warehouse) -> DataFrame:
+    """Orders that are more than a day old at the real moment of the run."""
+    return w.ref("stg_orders").filter(F.col("ordered_at") < ago(w.params, timedelta(days=1))).select("order_id", "order_date")
+
+
+def _values_and_view(spark: SparkSession, folder: str) -> DataFrame:
+    """A dataset as a view under its own name, joined in SQL with inline rows."""
+    sample_warehouse(spark, folder).expose("stg_orders")
+    return spark.sql("""
+        SELECT label, count(*) AS orders, CAST(sum(order_amount) AS DOUBLE) AS amount
+        FROM stg_orders JOIN VALUES ('completed', 'done'), ('pending', 'open'), ('shipped', 'open') AS labels(status, label)
+            ON order_status = status
+        GROUP BY label""")
+
+
 def queries() -> dict[str, Query]:
     return {
         **{name: _dataset(name) for name in DATASETS},
@@ -339,4 +500,24 @@ def queries() -> dict[str, Query]:
         "dq_revenue_mismatch_violated": _of(dq_revenue_mismatch_violated),
         "status_defaults": _awkward(status_defaults),
         "dim_dates_holidays": _of(dim_dates_holidays),
+        "cdc_parse_binary": _parse_binary,
+        "cdc_redelivered": _redelivered,
+        "cdc_empty_batch": _empty_batch,
+        "cdc_reject_counts": _reject_counts,
+        "cdc_unknown_fields": _unknown_fields,
+        "captured_compacted": _compacted,
+        "current_after_key_deletes": _key_deletes,
+        "current_orders_refreshed": _current_in_parts(2),
+        "current_orders_partly_refreshed": _current_in_parts(1),
+        "refreshed_fct_orders": _refreshed("fct_orders"),
+        "refreshed_fct_payments": _refreshed("fct_payments"),
+        "refreshed_fct_daily_sales": _refreshed("fct_daily_sales"),
+        "customers_by_month": _customers_by_month,
+        "customers_by_day": _of(_customers_by_day),
+        "orders_before_now": _of(orders_before_now, as_of=None),
+        "values_and_view": _values_and_view,
+        "sink_measured_checks": _measured_checks,
+        "bucketed_order_payments": _bucketed("int_order_payments"),
+        "bucketed_fct_payments": _bucketed("fct_payments"),
+        "customer_look_up": _look_up,
     }

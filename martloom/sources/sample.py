@@ -185,16 +185,17 @@ def envelope_feed(events: DataFrame) -> DataFrame:
     )
 
 
-def versioned_feed(events: DataFrame) -> DataFrame:
+def versioned_feed(events: DataFrame, images: bool = True) -> DataFrame:
     """Changes in which one id has many versions: a user is a customer, an order of the customer before, or a payment
-    of the order before. Errors delete; clicks are empty values. Has offsets, as brokers do."""
+    of the order before. Errors delete; clicks are empty values. Has offsets, as brokers do. Without `images` the rows
+    before a change are left out, so that a delete has its key only."""
     user = F.col("user_id")
     row = _captured_row(_micros(F.col("ts"))).withField("id", user)
     row = row.withField("customer_id", user - 1).withField("order_id", user - 1)
     row = row.withField("status", F.when(F.col("event_type") == "purchase", "completed").otherwise(F.col("event_type")))
     operation = _translate("event_type", OPERATION)
     envelope = F.struct(
-        F.when(operation.isin("u", "d"), row).alias("before"),
+        F.when(operation.isin("u", "d") & F.lit(images), row).alias("before"),
         F.when(operation != "d", row).alias("after"),
         F.struct(_source_table().alias("table")).alias("source"),
         operation.alias("op"),
@@ -221,6 +222,25 @@ def odd_times_feed(events: DataFrame) -> DataFrame:
     )
 
 
+def faulty_feed(events: DataFrame) -> DataFrame:
+    """Envelopes of which some, by remainders of the id, are cut short, lack or have an unknown operation, lack the table or
+    the row, or have an amount or a time that cannot be read. Others have a field that is not declared."""
+    n = F.col("event_id")
+    row = _captured_row(F.when(n % 19 == 0, "soon").otherwise(_micros(F.col("ts")).cast("string")))
+    row = row.withField("amount", F.when(n % 17 == 0, "cheap").otherwise(row["amount"]))
+    row = row.withField("coupon", F.when(n % 6 == 0, F.concat(F.lit("c"), n.cast("string"))))
+    operation = F.when(n % 11 == 0, "x").when(n % 7 != 0, "c")
+    table = F.when(n % 13 != 0, _source_table())
+    envelope = F.struct(F.when(n % 23 != 0, row).alias("after"), F.struct(table.alias("table")).alias("source"), operation.alias("op"))
+    value = F.to_json(envelope)
+    return events.select(
+        n.cast("string").alias("key"),
+        F.when(n % 5 == 0, F.substring(value, 1, 10)).otherwise(value).alias("value"),
+        F.concat(F.lit("shop.public."), _source_table()).alias("topic"),
+        F.col("ts").alias("timestamp"),
+    )
+
+
 def record_feed(events: DataFrame) -> DataFrame:
     """The flattened form of the same changes; deletes have become tombstones."""
     operation = _translate("event_type", OPERATION)

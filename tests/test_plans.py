@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from helpers import PARAMS, golden
 from martloom import Warehouse
-from martloom.plans import checks
+from martloom.operators import quality, sinks
+from martloom.plans import checks, workload
 from martloom.plans.workload import sample_warehouse
 from martloom.sources.sample import SAMPLE_PARAMS, sample_sources
 
@@ -121,3 +124,45 @@ def test_adaptive_execution_splits_hot_keys_of_the_fact_joins(shuffled):
     finally:
         for name, value in before.items():
             shuffled.conf.unset(name) if value is None else shuffled.conf.set(name, value)
+
+
+def _exchanges(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark, tmp_path):
+    with workload._lake(spark) as lake:
+        w = workload.bucketed_warehouse(spark, "/root/testdata/sf0.001", lake)
+        assert _exchanges(w.ref("int_order_payments")) == 0
+        assert _exchanges(workload.sample_warehouse(spark, "/root/testdata/sf0.001").ref("int_order_payments")) > 0
+
+
+def test_a_look_up_reads_the_files_that_may_hold_it(spark, tmp_path, monkeypatch):
+    path, df = str(tmp_path), spark.range(1000).withColumn("v", F.col("id") % 7)
+    monkeypatch.setattr(sinks, "sorted_by", lambda rows, keys: rows.repartitionByRange(4, *keys))  # four files, small as they are
+    sinks.publish_files(df, path, ["id"])
+    sinks.publish_ranges(spark, path, ["id", "v"])
+    one = sinks.look_up(spark, path, "id", [500])
+    assert [tuple(r) for r in one.collect()] == [(500, 3)] and len(one.inputFiles()) == 1
+    assert len(sinks.look_up(spark, path, "id", [0, 999]).inputFiles()) == 2
+    assert sinks.look_up(spark, path, "id", []).isEmpty() and sinks.look_up(spark, path, "id", [-5]).isEmpty()
+    assert sinks.look_up(spark, path, "v", [3]).count() == 143
+
+
+def test_stored_marts_are_measured_as_they_are_written(spark, tmp_path):
+    measured: dict = {}
+    df = spark.range(5000).withColumn("v", F.col("id") % 3)
+    for ranged in (True, False):
+        measures = {"rows": F.count(F.lit(1)), "twos": F.count_if(F.col("v") == 2), "most": F.max("id")}
+        sinks.publish_files(df, str(tmp_path), ["v", "id"], ranged=ranged, measures=measures, measured=measured)
+        assert measured == {"rows": 5000, "twos": 1666, "most": 4999}
+
+
+def test_stated_unique_ids_are_checked_before_marts_are_stored(spark, tmp_path):
+    rows = golden(spark).source("orders")
+    sources = {"customers": lambda s: golden(s).source("customers"), "orders": lambda s: rows.union(rows), "payments": lambda s: golden(s).source("payments")}
+    stated = replace(PARAMS, unique_ids=True)
+    with pytest.raises(quality.QualityError, match="unique:orders.id"):
+        Warehouse(spark, sources, stated, root=str(tmp_path / "a")).run(["core"])
+    assert Warehouse(spark, sources, PARAMS, root=str(tmp_path / "b")).run(["core"]).count() >= 5

@@ -1,0 +1,116 @@
+"""Marts refreshed from changed ids, mergeable distinct counts, records that come again or cannot be read."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import PARAMS, customer, multiset, order, payment, rows
+from martloom import Warehouse
+from martloom.operators.distinct import distinct_counts, distinct_states, merged_states
+from martloom.plans.refresh import KEYS, RefreshedMarts
+from martloom.schemas import CUSTOMERS, ORDERS, PAYMENTS
+from martloom.streaming.changes import each_once, key_id, rejected_envelopes, unknown_fields
+from test_streaming import MICROS, change, feed, sale
+
+SCHEMAS = {"customers": CUSTOMERS, "orders": ORDERS, "payments": PAYMENTS}
+
+
+def shop():
+    """30 customers, 3 orders each, one payment per order."""
+    return {
+        "customers": {i: customer(i, f"C{i}", f"c{i}@x.y") for i in range(1, 31)},
+        "orders": {n: order(n, n % 30 + 1, "100.00", created=datetime(2024, 1, 1 + n % 20, 9)) for n in range(1, 91)},
+        "payments": {n: payment(n, n, "100.00", created=datetime(2024, 2, 1 + n % 20)) for n in range(1, 91)},
+    }
+
+
+def sources(spark, tables):
+    return {name: (lambda s, name=name: spark.createDataFrame(list(tables[name].values()), SCHEMAS[name])) for name in tables}
+
+
+def ids(spark, **changed):
+    return {name: spark.createDataFrame([(i,) for i in changed.get(name, [])], "id long") for name in SCHEMAS}
+
+
+def payment_of_nobody(t):
+    t["payments"][500] = payment(500, 4_000, "5.00")
+
+
+CHANGES = {
+    "a name": (lambda t: t["customers"].update({5: customer(5, "New", "n@x.y")}), {"customers": [5]}),
+    "an email, which no fact shows": (lambda t: t["customers"].update({5: customer(5, "C5", "n@x.y")}), {"customers": [5]}),
+    "a new customer with an order of before": (lambda t: (t["orders"].update({1: order(1, 77, "10.00")}), t["customers"].update({77: customer(77)})), {"orders": [1], "customers": [77]}),
+    "an order moves to another customer and day": (lambda t: t["orders"].update({10: order(10, 3, "7.00", created=datetime(2024, 2, 27))}), {"orders": [10]}),
+    "an order becomes large, its customer VIP": (lambda t: t["orders"].update({11: order(11, 12, "5000.00")}), {"orders": [11]}),
+    "orders, a customer and a payment go": (lambda t: (t["orders"].pop(20), t["orders"].pop(21), t["customers"].pop(9), t["payments"].pop(30)), {"orders": [20, 21], "customers": [9], "payments": [30]}),
+    "a payment moves": (lambda t: t["payments"].update({40: payment(40, 41, "3.00", status="pending")}), {"payments": [40]}),
+    "a payment of nobody": (payment_of_nobody, {"payments": [500]}),
+    "nothing": (lambda t: None, {}),
+}
+
+
+@pytest.mark.parametrize("what", list(CHANGES))
+def test_refreshed_marts_equal_a_full_build(spark, tmp_path, what):
+    tables = shop()
+    RefreshedMarts(spark, sources(spark, tables), PARAMS, str(tmp_path), 3).build(covers=0)
+    change_rows, changed = CHANGES[what]
+    change_rows(tables)
+    marts = RefreshedMarts(spark, sources(spark, tables), PARAMS, str(tmp_path), 3)
+    folders = {name: marts.mart(name)._manifest()["folders"] for name in KEYS}
+    written = marts.refresh(ids(spark, **changed), covers=1)
+    full = Warehouse(spark, sources(spark, tables), PARAMS)
+    for name in KEYS:
+        assert multiset(marts.read(name)) == multiset(full.ref(name).select(*marts.read(name).columns)), name
+        after = marts.mart(name)._manifest()["folders"]
+        assert sum(after.get(k) != f for k, f in folders[name].items()) <= written[name]
+    assert marts.covers() == 1
+    if what == "an email, which no fact shows":
+        assert written == {"dim_customers": 1, "fct_orders": 0, "fct_payments": 0, "fct_daily_sales": 0}
+    if what == "a payment moves":
+        assert written["dim_customers"] == 0 and 0 < written["fct_orders"] <= 2
+    if what == "nothing":
+        assert not any(written.values())
+
+
+def test_distinct_states_merge(spark):
+    df = spark.createDataFrame(
+        [(1, 1, 5), (1, 1, 5), (1, 2, 5), (1, 2, 70_000), (2, 3, None), (2, 4, -3), (2, 4, -3), (2, 4, 0), (3, 5, None)],
+        "month int, day int, customer long",
+    )
+    states = distinct_states(df, "customer", "month", "day")
+    assert rows(distinct_counts(states, "n", "day"), "day", "n") == [(1, 1), (2, 2), (3, 0), (4, 2), (5, 0)]
+    assert rows(distinct_counts(states, "n", "month"), "month", "n") == [(1, 2), (2, 2), (3, 0)]
+    assert rows(distinct_counts(merged_states(states, "month"), "n", "month"), "n") == [(0,), (2,), (2,)]
+    assert distinct_states(df.limit(0), "customer", "day").isEmpty()
+
+
+def test_each_once(spark):
+    twice = feed(spark, [change("orders", "c", sale(1)), change("orders", "c", sale(2))]).withColumn("offset", F.col("key").cast("long"))
+    assert each_once(twice.union(twice)).count() == 2
+
+
+def test_rejected_records(spark):
+    good = change("orders", "c", sale(1))
+    values = [
+        good, None, "not json {", "{}", change("orders", "x", sale(1)), json.dumps({"op": "c", "after": sale(1)}), change("orders", "c", None),
+        change("orders", "u", {"amount": "1.00"}), change("orders", "c", sale(1, amount="cheap")), change("orders", "c", sale(1, created_at="soon")),
+        change("orders", "d", None), change("orders", "c", sale(1, created_at=MICROS, amount=None)),
+    ]
+    got = {r["key"]: r["reason"] for r in rejected_envelopes(feed(spark, values)).collect()}
+    reasons = ["not json", "no operation", "unknown operation", "no table", "no row", "no row", "amount", "time"]
+    assert got == {str(n): reason for n, reason in enumerate(reasons, 2)}
+
+
+def test_unknown_fields(spark):
+    values = [change("orders", "c", sale(1)), change("orders", "c", sale(2, coupon="A", lines=[1, 2])), None, "not json {"]
+    assert [(r["key"], r["fields"]) for r in unknown_fields(feed(spark, values)).collect()] == [("1", {"coupon": "A", "lines": "[1,2]"})]
+
+
+def test_ids_in_keys(spark):
+    keys = ["5", " 6", '{"id": 7}', '{"id": "8"}', '{"payload": {"id": 9}}', "x", "{}", None]
+    got = [r[0] for r in spark.createDataFrame([(k,) for k in keys], "key string").select(key_id(F.col("key"))).collect()]
+    assert got == [5, 6, 7, 8, 9, None, None, None]
