@@ -32,6 +32,15 @@ def test_samples_are_bounded_and_repeatable(spark):
     assert row_sample(df.limit(0), "label", 5, 50, 3) == []
 
 
+def test_one_id_on_most_rows_keeps_the_bound(spark):
+    rows = [(7, f"t{i}", "a") for i in range(3_000)] + [(7, "same", "a")] * 500 + [(i, f"u{i}", "b") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    for seed in range(4):
+        assert len(row_sample(df, "label", 12, 50, seed)) <= 12
+        got = class_sample(df, "label", 12, 50, seed)
+        assert sum(y == "a" for _, y in got) <= 12 and sum(y == "b" for _, y in got) == 12
+
+
 # language
 
 
