@@ -14,8 +14,9 @@ The benchmark goes to the tasks in blocks of at most BLOCK items, whatever its s
 it, so the weights, and with them the similarities, do not depend on the blocks. The counted shingles (16 bytes each) and
 the blocks pass through the driver.
 
-Defined results: null or empty texts and items match nothing; equal items each match; repeated rows match alike; an empty
-benchmark or table gives no rows.
+Defined results: null or empty texts and items match nothing; equal items each match; items that share an id, or have none,
+are one, which matches where the most similar of them does; repeated rows match alike; an empty benchmark or table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -194,10 +195,11 @@ _LEAK_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.floa
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, least: float = 0.8) -> Column:
-    """The items that stand in the column `text`, as an array of (item_id, similarity, first_word), by item."""
+    """The items that stand in the column `text`, as an array of (item_id, similarity, first_word), by block and item."""
     items = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text").orderBy("item_id", "text")
     weights = shingle_weights(benchmark)
-    held = documents.sparkSession.sparkContext.broadcast(weights)
+    # plain arrays: broadcast values are pickled by name, and the tasks may not have this module
+    held = documents.sparkSession.sparkContext.broadcast((weights.shingles, weights.values, weights.other))
     found, block = [], []
     for row in items.toLocalIterator():
         block.append((row["item_id"], row["text"]))
@@ -209,17 +211,26 @@ def leaks(documents: DataFrame, benchmark: DataFrame, least: float = 0.8) -> Col
     return F.concat(*found)
 
 
-def _leaks_of(documents: DataFrame, index: dict, weights: Broadcast[Weights], least: float) -> Column:
+def _best_of_each(found: Column) -> Column:
+    """By item, the most similar window, the first of equals: an id may occur in several blocks."""
+    turned = F.transform(found, lambda x: F.struct(x["item_id"].alias("item_id"), (-x["similarity"]).alias("unlike"), x["first_word"].alias("first_word")))
+    ordered = F.array_sort(turned)
+    first = F.filter(ordered, lambda x, i: (i == 0) | ~x["item_id"].eqNullSafe(F.get(ordered, i - 1)["item_id"]))
+    return F.transform(first, lambda x: F.struct(x["item_id"], (-x["unlike"]).alias("similarity"), x["first_word"])).cast(_LEAKS)
+
+
+def _leaks_of(documents: DataFrame, index: dict, weights: Broadcast, least: float) -> Column:
     shared = documents.sparkSession.sparkContext.broadcast(index)
 
     @F.arrow_udf(_LEAKS)
     def search(texts: pa.Array) -> pa.Array:
         out: list[list[dict]] = []
+        held = Weights(*weights.value)
         for _, data, offsets in slices(pa.RecordBatch.from_arrays([texts], ["text"])):
             words = plain_words(data, offsets)
-            found = find_leaks(shared.value, weights.value, words, least)
+            found = find_leaks(shared.value, held, words, least)
             for d in range(len(words.counts)):
-                best = sorted(found.get(d, {}).items())
+                best = sorted(found.get(d, {}).items(), key=lambda item: (item[0] is not None, item[0] or 0))
                 out.append([{"item_id": k, "similarity": s, "first_word": at} for k, (s, at) in best])
         return pa.array(out, _LEAK_TYPE)
 
@@ -229,7 +240,8 @@ def _leaks_of(documents: DataFrame, index: dict, weights: Broadcast[Weights], le
 def leak_report(documents: DataFrame, benchmark: DataFrame, least: float = 0.8) -> DataFrame:
     """doc_id, item_id, similarity and first_word: a row for every item found in a document."""
     narrow = documents.select("doc_id", "text")
-    return narrow.select("doc_id", F.explode(leaks(narrow, benchmark, least)).alias("leak")).select("doc_id", "leak.*")
+    found = narrow.select("doc_id", leaks(narrow, benchmark, least).alias("found"))
+    return found.select("doc_id", F.explode(_best_of_each(F.col("found"))).alias("leak")).select("doc_id", "leak.*")
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, least: float = 0.8) -> DataFrame:

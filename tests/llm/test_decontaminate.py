@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import random
 
 import brute
@@ -151,3 +152,27 @@ def test_similarities_do_not_depend_on_the_blocks(spark, monkeypatch):
     assert len(want) >= 10 and found(docs, benchmark) == want
     monkeypatch.setattr(decontaminate, "BLOCK", 3)
     assert found(docs, benchmark) == want
+
+
+def test_items_without_an_id_or_with_the_same(spark, monkeypatch):
+    items = [(None, "a1 b1 c1 d1 e1 f1"), (3, "a2 b2 c2 d2 e2 f2"), (3, "a3 b3 c3 d3 e3 f3"), (3, "a2 b2 c2 d2 e2 f2"), (5, "a4 b4 c4 d4 e4 f4")]
+    text = " ".join(t for _, t in items)
+    docs = spark.createDataFrame([(9, text), (9, text), (None, items[2][1])], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = [(9, None, 0), (9, 3, 6), (9, 5, 24)] * 2 + [(None, 3, 0)]
+    for block in (decontaminate.BLOCK, 3, 1):
+        monkeypatch.setattr(decontaminate, "BLOCK", block)
+        got = decontaminate.leak_report(docs, benchmark).collect()
+        assert sorted(((r["doc_id"], r["item_id"], r["first_word"]) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_broadcast_weights_are_plain_arrays(spark, monkeypatch):
+    """Tasks may lack this module, and broadcast values are pickled by name."""
+    sent = []
+    context = type(spark.sparkContext)
+    real = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda self, value: (sent.append(value), real(self, value))[1])
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    decontaminate.leak_report(docs, spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")).collect()
+    values = [value for value in sent if not isinstance(value, bytes)]  # bytes are functions, which travel with their code
+    assert len(values) == 2 and all(b"martloom" not in pickle.dumps(value) for value in values)
