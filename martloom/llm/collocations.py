@@ -316,6 +316,10 @@ def collocations(documents: DataFrame, least: int = 30, covered: int = 80, top:
     )
     open_ = cuts.filter(100 * _wide(F.col("cover")) < covered * _wide(F.col("a")))
     best = open_.select("lang", "phrase", "a", F.array_min(scored).alias("best")).select("lang", "phrase", "a", "best.l", "best.r", "best.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    first = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # first within each of many parts of a language, so that few rows of a large one meet in a task
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = best.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    ahead = part.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
+    first = ahead.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     return first.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
