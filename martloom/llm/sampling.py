@@ -24,7 +24,9 @@ def _texts(fit: DataFrame, chosen: DataFrame, label: str) -> list[tuple[str, obj
     if not picks:
         return []
     few = fit.sparkSession.createDataFrame(picks, fit.select("doc_id", "key", label).schema)
-    picked = fit.join(F.broadcast(few), ["doc_id", "key", label], "left_semi").dropDuplicates(["doc_id", "key", label])
+    # the ids alone reach the scans below a join; rows that share a chosen id are told apart behind it
+    near = fit.filter(F.col("doc_id").isin(sorted({pick[0] for pick in picks})))
+    picked = near.join(F.broadcast(few), ["doc_id", "key", label], "left_semi").dropDuplicates(["doc_id", "key", label])
     found = picked.select("doc_id", "text", label).collect()
     found.sort(key=lambda r: (r["doc_id"], r["text"], str(r[label])))
     return [(r["text"], r[label]) for r in found]
