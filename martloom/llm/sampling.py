@@ -14,20 +14,17 @@ def held_out(doc_id: Column) -> Column:
 def _fit_rows(rows: DataFrame, label: str, longest: int, seed: int) -> DataFrame:
     fit = rows.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & F.col("text").isNotNull())
     fit = fit.filter(F.char_length("text") <= longest)
-    draw, key = F.xxhash64(F.lit(seed), F.col("doc_id")), F.xxhash64("text")
-    return fit.select("doc_id", "text", label, draw.alias("draw"), key.alias("key"))
-
-
-def _texts(fit: DataFrame, chosen: DataFrame, label: str) -> list[tuple[str, object]]:
-    """The rows of the chosen (id, text, label), each once however often it is repeated."""
-    picks = [tuple(r) for r in chosen.select("doc_id", "key", label).distinct().collect()]  # as many as the bound says
-    if not picks:
-        return []
-    few = fit.sparkSession.createDataFrame(picks, fit.select("doc_id", "key", label).schema)
-    # the ids alone reach the scans below a join; rows that share a chosen id are told apart behind it
-    near = fit.filter(F.col("doc_id").isin(sorted({pick[0] for pick in picks})))
-    picked = near.join(F.broadcast(few), ["doc_id", "key", label], "left_semi").dropDuplicates(["doc_id", "key", label])
-    found = picked.select("doc_id", "text", label).collect()
+    return fit.select("doc_id", "text", label, F.xxhash64(F.lit(seed), F.col("doc_id")).alias("draw"))
+
+
+def _of_ids(fit: DataFrame, chosen: DataFrame) -> DataFrame:
+    """All rows of the chosen ids. The first pass sees ids only, so that no text goes through a join for it."""
+    ids = sorted({r["doc_id"] for r in chosen.select("doc_id").collect()})  # as many as the bound says
+    return fit.filter(F.col("doc_id").isin(ids))
+
+
+def _collected(bounded: DataFrame, label: str) -> list[tuple[str, object]]:
+    found = bounded.select("doc_id", "text", label).collect()
     found.sort(key=lambda r: (r["doc_id"], r["text"], str(r[label])))
     return [(r["text"], r[label]) for r in found]
 
@@ -37,15 +34,20 @@ def class_sample(rows: DataFrame, label: str, per_class: int, longest: int, seed
 
     The one bounded part of a fit: at most per_class texts a label, each of at most `longest` code points (longer ones
     are left out of the sample, whole). `rows` has doc_id, text and the label; null ids, texts and labels are left out. Rows
-    that share an id are ranked by their texts, so the bound holds whatever is repeated.
+    that share an id are ranked by their texts, so the bound holds however often an id is repeated.
     """
+
+    def first(df: DataFrame, *ties: Column | str) -> DataFrame:
+        order = Window.partitionBy(label).orderBy("draw", "doc_id", *ties)
+        return df.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_class)
+
     fit = _fit_rows(rows, label, longest, seed)
-    order = Window.partitionBy(label).orderBy("draw", "doc_id", "key")
-    placed = fit.select("doc_id", "key", label, "draw").withColumn("place", F.row_number().over(order))
-    return _texts(fit, placed.filter(F.col("place") <= per_class), label)
+    near = _of_ids(fit, first(fit.select("doc_id", label, "draw")))
+    return _collected(first(near, F.xxhash64("text")), label)
 
 
 def row_sample(rows: DataFrame, label: str, most: int, longest: int, seed: int) -> list[tuple[str, object]]:
     """As class_sample, but at most `most` rows of all labels together, in their natural proportions."""
     fit = _fit_rows(rows, label, longest, seed)
-    return _texts(fit, fit.select("doc_id", "key", label, "draw").orderBy("draw", "doc_id", "key", label).limit(most), label)
+    near = _of_ids(fit, fit.select("doc_id", "draw").orderBy("draw", "doc_id").limit(most))
+    return _collected(near.orderBy("draw", "doc_id", F.xxhash64("text"), label).limit(most), label)
