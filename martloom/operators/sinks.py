@@ -79,11 +79,13 @@ def publish_files(
     ranged: bool = True,
     measures: Mapping[str, Column] | None = None,
     measured: dict[str, object] | None = None,
+    bloom: Iterable[str] = (),
 ) -> DataFrame:
     """Write a new version of a table below `path`, switch to it, and read it back.
 
     `measures` are aggregates taken from the rows as they are written, without a scan of their own; their values are put
-    into `measured`.
+    into `measured`. `bloom` names columns whose values get a Bloom filter in every row group (Parquet): a look-up by a column
+    that the table is not sorted by, such as the orders of a customer, then reads only row groups that may hold the value.
 
     The old version stays readable until the new one is complete; a failed run leaves it in place. The version
     before the last is deleted. ranged=False sorts a small table within its partitions, without a range shuffle.
@@ -95,7 +97,10 @@ def publish_files(
         # observed behind the range shuffle, whose sampling runs what lies before it a second time
         observation = Observation()
         rows = rows.observe(observation, *[column.alias(name) for name, column in measures.items()])
-    rows.write.format(fmt).save(f"{path}/{version}")
+    filters = {f"parquet.bloom.filter.enabled#{name}": "true" for name in bloom}
+    # sized by the values that are there, instead of for the largest filter allowed
+    sized = {"parquet.bloom.filter.adaptive.enabled": "true"} if filters else {}
+    rows.write.format(fmt).options(**filters, **sized).save(f"{path}/{version}")
     if measures and measured is not None:
         measured.update(observation.get)
     kept = before.split("\n") if before else []

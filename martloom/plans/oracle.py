@@ -267,6 +267,26 @@ _PARSED = (
 )
 
 
+# A change does not follow from the one seen before it in its row. Every seventh change is not seen.
+_GAPS = """
+WITH chain AS (
+    SELECT event_id, user_id, ts, event_type, {'t': ts, 'a': CAST(value AS DECIMAL(10, 2)), 'e': event_type} AS image,
+        lag(event_type) OVER w AS type_before, lag({'t': ts, 'a': CAST(value AS DECIMAL(10, 2)), 'e': event_type}) OVER w AS image_before
+    FROM events WHERE event_type <> 'click' WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+changes AS (
+    SELECT *, CASE WHEN type_before IS NULL OR type_before = 'error' THEN 'c' WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op
+    FROM chain),
+seen AS (
+    SELECT *, lag(op) OVER w AS seen_op, lag(image) OVER w AS seen_image
+    FROM changes WHERE event_id % 7 <> 0 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+judged AS (
+    SELECT *, CASE WHEN op <> 'c' AND seen_op IS NULL THEN 'unseen' WHEN op <> 'c' AND seen_op = 'd' THEN 'deleted'
+        WHEN op = 'c' AND seen_op <> 'd' THEN 'exists' WHEN op <> 'c' AND image_before IS DISTINCT FROM seen_image THEN 'differs' END AS reason
+    FROM seen)
+SELECT ['customers', 'orders', 'payments'][user_id % 3 + 1] AS "table", user_id AS id, op, reason, ts AS processed_at, event_id AS sequence
+FROM judged WHERE reason IS NOT NULL"""
+
+
 _FCT_PAYMENTS = """
 SELECT p.payment_id, p.order_id, f.customer_id, f.customer_name, f.customer_tier,
     CAST(p.payment_amount AS DOUBLE) AS payment_amount, p.payment_method, p.payment_status,
@@ -451,6 +471,9 @@ SELECT table_name, row_count FROM (
             _doubles("dim_out", "total_spent")
             + " WHERE customer_id IN (SELECT unnest([min(customer_id), (min(customer_id) + max(customer_id)) // 2, max(customer_id)]) FROM dim_out)"
         ),
+        "customer_orders_look_up": _sql(
+            f"{fct} WHERE customer_id IN (SELECT unnest([min(customer_id), max(customer_id)]) FROM fct)"
+        ),
         "cdc_parse_binary": _sql(f"SELECT {_PARSED}, op FROM cdc"),
         "cdc_redelivered": _captured("orders"),
         "cdc_empty_batch": _captured("orders"),
@@ -463,6 +486,8 @@ FROM events GROUP BY reason""",
         "cdc_unknown_fields": """
 SELECT event_id AS id, 'coupon' AS field, 'c' || event_id AS content FROM events
 WHERE event_id % 6 = 0 AND event_id % 5 <> 0 AND event_id % 23 <> 0""",
+        "cdc_continuity_gaps": _GAPS,
+        "cdc_continuity_stream": _GAPS,
         "captured_compacted": _sql(f"SELECT {_CAPTURED['orders'].replace('ts AS created_at', 'CAST(NULL AS TIMESTAMP) AS created_at')}"
             " FROM cdc, range(2) WHERE tab = 'orders'"),
         "current_after_key_deletes": _sql(_doubles("src_orders", "amount"), sources=_CAPTURED_SOURCES),

@@ -16,7 +16,7 @@ from martloom import schemas
 from martloom.functions.calendar import date_range, with_calendar
 from martloom.functions.cleaning import with_defaults
 from martloom.functions.segments import is_completed
-from martloom.functions.times import ago
+from martloom.functions.times import ago, at
 from martloom.operators import quality, sinks
 from martloom.operators.distinct import distinct_counts, distinct_states
 from martloom.operators.scratch import fresh_folder
@@ -26,6 +26,7 @@ from martloom.plans.warehouse import Warehouse
 from martloom.sources.sample import (
     SAMPLE_PARAMS,
     awkward_sources,
+    chained_feed,
     envelope_feed,
     event_stream,
     events,
@@ -37,6 +38,7 @@ from martloom.sources.sample import (
 )
 from martloom.sources.tables import list_tables, preview, read_csv, read_files, read_table, row_counts
 from martloom.streaming.changes import each_once, parse_envelopes, parse_records, rejected_envelopes, unknown_fields
+from martloom.streaming.continuity import continuity_gaps, read_gaps, row_images, watch_continuity
 from martloom.streaming.router import (
     captured_between,
     captured_sources,
@@ -233,6 +235,15 @@ def _look_up(spark: SparkSession, folder: str) -> DataFrame:
     return money_as_double(sinks.look_up(spark, path, "customer_id", [first, (first + last) // 2, last]))
 
 
+def _look_up_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders of two customers in the fact, which is sorted by day: row groups without them are told by Bloom filters."""
+    w, path = sample_warehouse(spark, folder), fresh_folder(spark, "fact")
+    sinks.publish_files(w.ref("fct_orders"), path, ["order_date", "order_id"], bloom=["customer_id"])
+    sinks.publish_ranges(spark, path, ["customer_id"])
+    least, greatest = sinks.read_published(spark, path).agg(F.min("customer_id"), F.max("customer_id")).first()
+    return money_as_double(sinks.look_up(spark, path, "customer_id", [least, greatest]))
+
+
 def _stored(name: str) -> Query:
     """The contents of a mart as they were written and read back."""
     return lambda spark, folder: money_as_double(sample_warehouse(spark, folder, root=fresh_folder(spark, "marts")).ref(name))
@@ -427,6 +438,20 @@ def _unknown_fields(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").cast("bigint").alias("id"), F.explode("fields").alias("field", "content"))
 
 
+def _gaps(spark: SparkSession, folder: str) -> DataFrame:
+    return continuity_gaps(row_images(chained_feed(events(spark, folder))))
+
+
+def _watched_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """The same feed arrives in two parts, each checked against the last changes of the part before."""
+    root, feed = fresh_folder(spark, "continuity"), chained_feed(events(spark, folder))
+    for part in (F.col("timestamp") < at(SOME_DAYS[1]), F.col("timestamp") >= at(SOME_DAYS[1])):
+        feed.filter(part).write.mode("append").parquet(f"{root}/feed")
+        arriving = spark.readStream.schema(feed.schema).parquet(f"{root}/feed")
+        watch_continuity(row_images(arriving), root, f"{root}/progress", SAMPLE_BUCKETS).awaitTermination()
+    return read_gaps(spark, root)
+
+
 def _parse_binary(spark: SparkSession, folder: str) -> DataFrame:
     """Keys and values as brokers deliver them."""
     feed = envelope_feed(events(spark, folder))
@@ -505,6 +530,8 @@ def queries() -> dict[str, Query]:
         "cdc_empty_batch": _empty_batch,
         "cdc_reject_counts": _reject_counts,
         "cdc_unknown_fields": _unknown_fields,
+        "cdc_continuity_gaps": _gaps,
+        "cdc_continuity_stream": _watched_gaps,
         "captured_compacted": _compacted,
         "current_after_key_deletes": _key_deletes,
         "current_orders_refreshed": _current_in_parts(2),
@@ -520,4 +547,5 @@ def queries() -> dict[str, Query]:
         "bucketed_order_payments": _bucketed("int_order_payments"),
         "bucketed_fct_payments": _bucketed("fct_payments"),
         "customer_look_up": _look_up,
+        "customer_orders_look_up": _look_up_orders,
     }

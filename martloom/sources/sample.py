@@ -12,7 +12,7 @@ from datetime import datetime
 from decimal import Decimal
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -185,14 +185,18 @@ def envelope_feed(events: DataFrame) -> DataFrame:
     )
 
 
+def _version_row() -> Column:
+    user = F.col("user_id")
+    row = _captured_row(_micros(F.col("ts"))).withField("id", user)
+    row = row.withField("customer_id", user - 1).withField("order_id", user - 1)
+    return row.withField("status", F.when(F.col("event_type") == "purchase", "completed").otherwise(F.col("event_type")))
+
+
 def versioned_feed(events: DataFrame, images: bool = True) -> DataFrame:
     """Changes in which one id has many versions: a user is a customer, an order of the customer before, or a payment
     of the order before. Errors delete; clicks are empty values. Has offsets, as brokers do. Without `images` the rows
     before a change are left out, so that a delete has its key only."""
-    user = F.col("user_id")
-    row = _captured_row(_micros(F.col("ts"))).withField("id", user)
-    row = row.withField("customer_id", user - 1).withField("order_id", user - 1)
-    row = row.withField("status", F.when(F.col("event_type") == "purchase", "completed").otherwise(F.col("event_type")))
+    user, row = F.col("user_id"), _version_row()
     operation = _translate("event_type", OPERATION)
     envelope = F.struct(
         F.when(operation.isin("u", "d") & F.lit(images), row).alias("before"),
@@ -209,6 +213,29 @@ def versioned_feed(events: DataFrame, images: bool = True) -> DataFrame:
     )
 
 
+def chained_feed(events: DataFrame) -> DataFrame:
+    """The versions of `versioned_feed` with the images that were there before them: a row's first change, and one after an
+    error, creates it; an error deletes it; others update it. Every seventh change is lost. Has offsets."""
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    changes = events.filter(F.col("event_type") != "click").withColumn("row", _version_row())
+    earlier = changes.withColumns({"type_before": F.lag("event_type").over(order), "row_before": F.lag("row").over(order)})
+    created = F.col("type_before").isNull() | (F.col("type_before") == "error")
+    operation = F.when(created, "c").when(F.col("event_type") == "error", "d").otherwise("u")
+    envelope = F.struct(
+        F.when(operation != "c", F.col("row_before")).alias("before"),
+        F.when(operation != "d", F.col("row")).alias("after"),
+        F.struct(_source_table().alias("table")).alias("source"),
+        operation.alias("op"),
+    )
+    return earlier.filter(F.col("event_id") % 7 != 0).select(
+        F.col("user_id").cast("string").alias("key"),
+        F.to_json(envelope).alias("value"),
+        F.concat(F.lit("shop.public."), _source_table()).alias("topic"),
+        F.col("ts").alias("timestamp"),
+        F.col("event_id").alias("offset"),
+    )
+
+
 def odd_times_feed(events: DataFrame) -> DataFrame:
     """Flattened records whose times are, in turn, microseconds, nanoseconds, text and no time at all."""
     micros = _micros(F.col("ts"))

@@ -24,7 +24,7 @@ DELETED = "d"
 _WITHOUT_BEFORE = StructType([field for field in CHANGE_ENVELOPE if field.name != "before"])
 
 
-def _parsed(feed: DataFrame, schema: StructType, *others: Column) -> DataFrame:
+def parsed_values(feed: DataFrame, schema: StructType, *others: Column) -> DataFrame:
     stamp = F.col("timestamp")
     zoneless = isinstance(feed.schema["timestamp"].dataType, TimestampNTZType)
     return feed.select(
@@ -35,7 +35,7 @@ def _parsed(feed: DataFrame, schema: StructType, *others: Column) -> DataFrame:
     )
 
 
-def _only(parsed: DataFrame, condition: Column) -> DataFrame:
+def only_where(parsed: DataFrame, condition: Column) -> DataFrame:
     """Rows that meet a condition on `parsed`.
 
     A plain filter would be pushed below the projection and parse every value a second time; a list of
@@ -68,7 +68,7 @@ def parse_envelopes(feed: DataFrame, deletes: bool = False) -> DataFrame:
     """
     operations = (*KEPT_OPERATIONS, DELETED) if deletes else KEPT_OPERATIONS
     schema, keys = (CHANGE_ENVELOPE, [key_id(F.col("key")).alias("key_id")]) if deletes else (_WITHOUT_BEFORE, [])
-    kept = _only(_parsed(feed, schema, *keys), F.col("parsed.op").isin(*operations))
+    kept = only_where(parsed_values(feed, schema, *keys), F.col("parsed.op").isin(*operations))
     record = F.col("parsed.after")
     if deletes:
         gone = F.col("parsed.op") == DELETED
@@ -92,8 +92,8 @@ def parse_records(feed: DataFrame) -> DataFrame:
     that cannot be read (they have no id).
     """
     table = F.element_at(F.split("topic", r"\."), -1).alias("table")
-    records = _parsed(feed.filter(F.col("value").isNotNull()), CHANGE_ROW, table)
-    kept = _only(records, F.col("parsed.id").isNotNull())
+    records = parsed_values(feed.filter(F.col("value").isNotNull()), CHANGE_ROW, table)
+    kept = only_where(records, F.col("parsed.id").isNotNull())
     return kept.select(*_row(F.col("parsed")), "table", "processed_at", "sequence")
 
 
@@ -115,7 +115,7 @@ def rejected_envelopes(feed: DataFrame) -> DataFrame:
     unknown, operation; no table; no row; an amount or a time that cannot be read.
     """
     others = [F.col(name).cast("string").alias(name) for name in ("key", "topic", "value")]
-    parsed = _parsed(feed.filter(F.col("value").isNotNull()), CHANGE_ENVELOPE, *others)
+    parsed = parsed_values(feed.filter(F.col("value").isNotNull()), CHANGE_ENVELOPE, *others)
     op = F.col("parsed.op")
     record = F.when(op == DELETED, F.col("parsed.before")).otherwise(F.col("parsed.after"))
     amount, time = record["amount"], record["created_at"]

@@ -212,3 +212,25 @@ def test_scratch_is_below_the_configured_folder(spark):
     assert folder != scratch.fresh_folder(spark, "x")
     if configured:
         assert folder.startswith(configured)
+
+
+def _scanned_rows(df) -> int:
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_look_up_by_an_unsorted_column_reads_no_row_group_without_the_value(spark, tmp_path):
+    # every file holds the whole range of values, so ranges of files tell nothing
+    table = spark.range(0, 40_000, 1, 4).select("id", ((F.col("id") * 7919) % 40_009 * 2).alias("customer_id"))
+    scanned = {}
+    for bloom in ([], ["customer_id"]):
+        path = str(tmp_path / f"bloom-{len(bloom)}")
+        with_filters = sinks.publish_files(table, path, ["id"], bloom=bloom)
+        assert multiset(with_filters) == multiset(table)
+        sinks.publish_ranges(spark, path, ["customer_id"])
+        absent, there = (sinks.look_up(spark, path, "customer_id", [value]) for value in (40_001, 7919 * 2))
+        assert rows(there) == [(1, 7919 * 2)]
+        scanned[len(bloom)] = _scanned_rows(absent)
+        assert absent.count() == 0
+    assert scanned[1] == 0 < scanned[0]
