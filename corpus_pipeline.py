@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.llm import decontaminate, mixing, ngram_join, quality, substrings
-from martloom.llm.storage import stored
+from martloom.operators.scratch import fresh_folder, passing_folders
 
 ORACLE_SQL = None
 SOURCE_WEIGHTS = [5, 2, 1]
@@ -52,7 +52,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over documents; what a stage stores for itself is deleted once its rows are written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        folder = fresh_folder(spark, f"pipeline-{name}")
+        with passing_folders(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(folder)
+        docs = spark.read.schema(kept.schema).parquet(folder)
     return docs

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from datetime import date
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 from pyspark.sql import DataFrameWriter
@@ -214,6 +215,17 @@ def test_scratch_is_below_the_configured_folder(spark):
         assert folder.startswith(configured)
 
 
+def test_passing_folders_go_when_their_block_ends_and_others_stay(spark):
+    before = scratch.fresh_folder(spark, "before")
+    spark.range(3).write.parquet(before)
+    with pytest.raises(ValueError), scratch.passing_folders(spark):
+        inside, unused = scratch.fresh_folder(spark, "inside"), scratch.fresh_folder(spark, "unused")
+        spark.range(5).write.parquet(inside)
+        assert unused != inside and spark.read.parquet(inside).count() == 5
+        raise ValueError("the work failed")
+    assert not Path(inside).exists() and spark.read.parquet(before).count() == 3
+
+
 def _scanned_rows(df) -> int:
     df.collect()
     leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
