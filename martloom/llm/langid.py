@@ -11,7 +11,6 @@ get equal results; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -25,7 +24,6 @@ from martloom.llm.sampling import class_sample, held_out
 MAX_PIECE = 24
 #: Distinct pieces a task remembers; the memory is emptied when it is full.
 REMEMBERED = 200_000
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def pieces(text: str) -> list[bytes]:
@@ -179,7 +177,7 @@ class Labeller:
             at = to
 
     def pool(self, texts: Iterable[str | None]) -> list[tuple[str, float]]:
-        counted = [Counter(pieces(t)) if t is not None and _LETTER.search(t) else None for t in texts]
+        counted = [Counter(pieces(t)) if t is not None and any(map(str.isalpha, t)) else None for t in texts]
         fresh = set().union(*(c.keys() for c in counted if c)) - self.known.keys()
         if len(self.known) + len(fresh) > REMEMBERED:
             self.forget()

@@ -5,7 +5,8 @@ floor(rate) times plus once more with probability equal to the fraction, decided
 
 Defined results: a null or empty text has size 0 and counts nothing; a null source is a source of its own, sorted last; a
 source of size 0 has rate 0. Rows with equal ids (null included) share their draw; repeated rows count as rows. An empty
-table gives no rows. Columns other than the ones used pass through `mix_documents` and may have any name.
+table gives no rows. Other columns pass through `mix_documents`;
+names that begin with two underscores are reserved.
 """
 
 from __future__ import annotations

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 _HOST_AND_PATH = """
     WITH rest AS (
-        SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
     ), parts AS (
-        SELECT page_id,
+        SELECT page_id, html,
             translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
         FROM rest
     )"""
 
 URL_FILTER = f"""{_HOST_AND_PATH}, ruled AS (
-        SELECT *, CASE
+        SELECT page_id, host, path, CASE
             WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
             WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
             WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
@@ -21,8 +21,13 @@ URL_FILTER = f"""{_HOST_AND_PATH}, ruled AS (
             WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/'
         END AS rule
         FROM parts
+    ), thin AS (
+        SELECT host FROM parts WHERE host <> ''
+        GROUP BY host
+        HAVING count(*) >= 3 AND 100 * sum(CASE WHEN length(regexp_replace(coalesce(html, ''), '<[^>]*>', '', 'g')) < 900 THEN 1 ELSE 0 END) >= 20 * count(*)
     ), listed AS (
-        SELECT DISTINCT host || path AS key FROM parts WHERE regexp_matches(host, '(^|\\.)ads-')
+        SELECT DISTINCT host || path AS key FROM parts
+        WHERE regexp_matches(host, '(^|\\.)ads-') OR host IN (SELECT host FROM thin)
     )
     SELECT page_id, host, path, rule, CASE
         WHEN rule IN ('org/', 'com/fr/') THEN 'allow'

@@ -131,7 +131,7 @@ class Scorer:
 def grade(documents: DataFrame, model: dict, at_least: int) -> DataFrame:
     """doc_id, text-free: expected_grade and tail (probability of a grade >= at_least), with the other columns kept.
 
-    The columns of documents may have any names; the two new ones come in one struct column `__grade`.
+    The columns of documents may have any names that do not begin with two underscores; the two new ones come in one struct column `__grade`.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 

@@ -18,8 +18,9 @@ URL_RULES = [
     urls.Rule(True, "com", "/fr/"),
     urls.Rule(False, "com", "/de/"),
 ]
-#: Hosts with such a label are listed; the list holds the keys of their pages.
+#: Hosts with such a label are listed, and hosts that mostly serve thin pages; the list holds the keys of their pages.
 LISTED_HOST = r"(^|\.)ads-"
+THIN_HOSTS = {"least_pages": 3, "least_chars": 900, "percent": 20}
 SOURCE_WEIGHTS = [5, 2, 1]
 LICENSES = [
     licenses.Template("gpl", "gnu general public license", base=True),
@@ -30,19 +31,9 @@ LICENSES = [
     licenses.Template("apache-2.0", "licensed under the apache license version 2 0", ("apache license version 2 0",)),
     licenses.Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("cc by nc",)),
     licenses.Template("mit-notice", "released under the mit license", ("mit license",)),
-    licenses.Template(
-        "mit-grant",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
-        ("permission is hereby granted free of charge",),
-    ),
-    licenses.Template(
-        "bsd",
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-        ("redistribution and use in source and binary forms",),
-    ),
-    licenses.Template(
-        "mpl-2.0", "subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)
-    ),
+    licenses.Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
+    licenses.Template("all-rights-reserved", "all rights reserved", ("all rights reserved",)),
+    *licenses.PARAGRAPHS,
 ]
 
 BASE_SECRETS = [
@@ -75,10 +66,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "pages").select("page_id", "url")
+    pages = table(spark, folder, "pages")
     host, path = urls.host_and_path(F.col("url"))
-    listed = pages.select(host.alias("host"), path.alias("path")).filter(F.col("host").rlike(LISTED_HOST))
-    return urls.judge_urls(pages, URL_RULES, listed.select(F.concat("host", "path").alias("key")))
+    parts = pages.select(host.alias("host"), path.alias("path"))
+    thin = parts.join(urls.thin_hosts(pages, **THIN_HOSTS), "host", "left_semi")
+    listed = thin.unionByName(parts.filter(F.col("host").rlike(LISTED_HOST)))
+    return urls.judge_urls(pages.select("page_id", "url"), URL_RULES, listed.select(F.concat("host", "path").alias("key")))
 
 
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:

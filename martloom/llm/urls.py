@@ -140,6 +140,22 @@ def _passes(df: DataFrame, level: tuple) -> Column:
     return passes("h1", "h2")
 
 
+def thin_hosts(pages: DataFrame, least_pages: int, least_chars: int, percent: int) -> DataFrame:
+    """Hosts (`host`) that mostly serve thin pages, from pages (url, html).
+
+    A page is thin if its html without tags has fewer than `least_chars` code points (null: none). A host counts if it has
+    `least_pages` rows or more and `percent` of them or more are thin. Urls without a host are no host.
+    """
+    host, _ = host_and_path(F.col("url"))
+    chars = F.char_length(F.regexp_replace(F.coalesce("html", F.lit("")), "<[^>]*>", ""))
+    counts = (
+        pages.select(host.alias("host"), (chars < least_chars).cast("long").alias("thin"))
+        .groupBy("host")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("thin").alias("thin"))
+    )
+    return counts.filter((F.col("host") != "") & (F.col("n") >= least_pages) & (100 * F.col("thin") >= percent * F.col("n"))).select("host")
+
+
 def mark_listed(df: DataFrame, key: str, listed: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
     """df with a boolean `listed`: whether its key is a key of `listed` (one column). Null keys are not listed."""
     held = "__key"
