@@ -82,32 +82,35 @@ def rare_index(templates: list[Template], frequencies: dict[str, int], share: fl
     return index
 
 
+def _sql(value: object) -> str:
+    """A constant as SQL text, which Spark reads in one step however many values it has."""
+    if isinstance(value, dict):
+        return f"named_struct({', '.join(f'{_sql(k)}, {_sql(v)}' for k, v in value.items())})"
+    if isinstance(value, list):
+        return f"array({', '.join(map(_sql, value))})"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+
+
 def _literal_templates(templates: list[Template], share: float) -> Column:
-    def one(t: Template) -> Column:
-        return F.struct(
-            F.lit(t.label).alias("label"),
-            F.lit(t.base).alias("base"),
-            F.array(*map(F.lit, t.words)).alias("words"),
-            F.array(*[F.array(*map(F.lit, places)) for places in t.phrase_places()]).alias("phrases"),
-            F.lit(len(t.words) - t.may_miss(share)).alias("least"),
-            F.array(*map(F.lit, t.shifts())).alias("shifts"),
-            F.lit(t.slack).alias("slack"),
-        )
+    def one(t: Template) -> dict:
+        return {
+            "label": t.label, "base": t.base, "words": t.words, "phrases": t.phrase_places(),
+            "least": len(t.words) - t.may_miss(share), "shifts": t.shifts(), "slack": t.slack,
+        }
 
-    return F.array(*map(one, templates))
+    return F.expr(_sql([one(t) for t in templates]))
 
 
 def _starts(words: Column, templates: list[Template], index: dict[str, list[tuple[int, int]]]) -> Column:
     """Proposed starts, as sorted distinct numbers: template * 2^32 + start."""
     rare = sorted(index)
     offsets = {w: sorted({(n, k + d) for n, k in index[w] for d in templates[n].shifts()}) for w in rare}
-    entries = F.create_map(
-        *[x for w in rare for x in (F.lit(w), F.array(*[F.struct(F.lit(n << 32).alias("template"), F.lit(k).alias("offset")) for n, k in offsets[w]]))]
-    )
+    listed = [f"{_sql(w)}, {_sql([{'template': n, 'offset': k} for n, k in offsets[w]])}" for w in rare]
+    entries = F.expr(f"map({', '.join(listed)})")
     places = F.array_compact(F.transform(words, lambda w, i: F.when(w.isin(rare), i)))
     proposed = F.transform(
         places,
-        lambda p: F.transform(F.element_at(entries, F.get(words, p)), lambda e: F.when(p >= e["offset"], e["template"] + p - e["offset"])),
+        lambda p: F.transform(F.element_at(entries, F.get(words, p)), lambda e: F.when(p >= e["offset"], F.shiftleft(e["template"].cast("long"), 32) + p - e["offset"])),
     )
     return F.sort_array(F.array_distinct(F.array_compact(F.flatten(proposed))))
 
@@ -117,7 +120,11 @@ def find_licenses(words: Column, templates: list[Template], index: dict[str, lis
     all_templates = _literal_templates(templates, share)
 
     def judge(code: Column) -> Column:
-        template, start = F.get(all_templates, F.shiftright(code, 32).cast("int")), code.bitwiseAND(0xFFFFFFFF).cast("int")
+        template = F.get(all_templates, F.shiftright(code, 32).cast("int"))
+        return F.get(F.transform(F.array(template), lambda t: against(code, t)), 0)
+
+    def against(code: Column, template: Column) -> Column:
+        start = code.bitwiseAND(0xFFFFFFFF).cast("int")
         same = lambda k, d: F.coalesce(F.get(words, start + k + d) == F.get(template["words"], k), F.lit(False))
         phrases = F.forall(template["phrases"], lambda ks: F.exists(template["shifts"], lambda d: F.forall(ks, lambda k: same(k, d))))
         found = F.size(
