@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterable, Mapping
 
@@ -49,6 +50,16 @@ def overwrite_table(df: DataFrame, table: str, order_by: Iterable[str] = (), fmt
     sorted_by(df, order_by).write.format(fmt).mode("overwrite").saveAsTable(table)
 
 
+# a task reads and sorts some 250 bytes of memory a row of its part
+BUCKET_ROWS = 500_000
+
+
+def buckets_for(tables: Iterable[DataFrame], least: int = 1, rows: int = BUCKET_ROWS) -> int:
+    """Into how many parts tables that meet by their key are cut, so that the largest has some `rows` rows in one. A part is
+    sorted by one task: with a fixed number, the memory of that task would grow with the table. Counts the rows."""
+    return max([least, *[math.ceil(table.count() / rows) for table in tables]])
+
+
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     """A catalog table in `buckets` parts by a hash of the key, each sorted by it: tables that share key and number of
     parts are joined, and grouped by the key, without a shuffle. One task per part and range of rows writes."""

@@ -211,9 +211,10 @@ def _measured_checks(spark: SparkSession, folder: str) -> DataFrame:
 
 def bucketed_warehouse(spark: SparkSession, folder: str, lake: str) -> Warehouse:
     """The sample with orders and payments stored in parts by order: they meet without a shuffle."""
-    plain = sample_warehouse(spark, folder)
-    for name, key in (("orders", "id"), ("payments", "order_id")):
-        sinks.write_bucketed(plain.source(name), f"{lake}.by_order_{name}", key, SAMPLE_BUCKETS)
+    plain, keys = sample_warehouse(spark, folder), {"orders": "id", "payments": "order_id"}
+    buckets = sinks.buckets_for(map(plain.source, keys), SAMPLE_BUCKETS)
+    for name, key in keys.items():
+        sinks.write_bucketed(plain.source(name), f"{lake}.by_order_{name}", key, buckets)
     by_order = {name: (lambda spark, name=name: read_table(spark, f"{lake}.by_order_{name}")) for name in ("orders", "payments")}
     return Warehouse(spark, sample_sources(folder) | by_order, SAMPLE_PARAMS)
 

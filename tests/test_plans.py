@@ -138,6 +138,30 @@ def test_bucketed_tables_are_joined_without_a_shuffle(spark, tmp_path):
         assert _exchanges(workload.sample_warehouse(spark, "/root/testdata/sf0.001").ref("int_order_payments")) > 0
 
 
+def test_bucketed_tables_have_parts_by_their_rows(spark, monkeypatch):
+    """A part, and so the memory of the task that sorts it, does not grow with the table."""
+    monkeypatch.setattr(sinks.buckets_for, "__defaults__", (1, 500))
+    with workload._lake(spark) as lake:
+        w = workload.bucketed_warehouse(spark, SAMPLE, lake)
+        rows, n = w.source("payments").count(), 0
+        for name in ("orders", "payments"):
+            table = f"{lake}.by_order_{name}"
+            described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+            n = int(described["Num Buckets"])
+            assert n == -(-rows // 500) > workload.SAMPLE_BUCKETS
+            files = w.source(name).groupBy(F.col("_metadata.file_path")).count()
+            assert files.agg(F.max("count")).first()[0] < 1000
+        paid = w.ref("int_order_payments")
+        assert _exchanges(paid) == 0
+        assert sorted(map(str, paid.collect())) == sorted(map(str, sample_warehouse(spark, SAMPLE).ref("int_order_payments").collect()))
+
+
+def test_the_largest_table_gives_the_number_of_parts(spark):
+    tables = [spark.range(n) for n in (10, 101)]
+    assert sinks.buckets_for(tables, 4, rows=20) == 6 and sinks.buckets_for(tables, 4, rows=50) == 4
+    assert sinks.buckets_for([spark.range(0)]) == 1
+
+
 def test_a_look_up_reads_the_files_that_may_hold_it(spark, tmp_path, monkeypatch):
     path, df = str(tmp_path), spark.range(1000).withColumn("v", F.col("id") % 7)
     monkeypatch.setattr(sinks, "sorted_by", lambda rows, keys: rows.repartitionByRange(4, *keys))  # four files, small as they are
