@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.calendar import date_range, with_calendar
@@ -27,6 +27,7 @@ from martloom.functions.times import iso_weekday, now
 from martloom.plans.intermediate import parents, with_payments
 
 if TYPE_CHECKING:
+    from martloom.params import Params
     from martloom.plans.warehouse import Warehouse
 
 # Column lists are the marts' schema contract, order included.
@@ -160,25 +161,37 @@ def _orders_with_payments(warehouse: Warehouse) -> DataFrame:
     return orders.join(paid, "order_id", "left")
 
 
-def fct_orders(warehouse: Warehouse) -> DataFrame:
+def of_orders(params: Params) -> dict[str, Column]:
+    """Columns of the order fact that follow from its other ones: they need not be shuffled."""
     amount, status, ordered_at = F.col("order_amount"), F.col("order_status"), F.col("ordered_at")
+    return {
+        "net_revenue": net_revenue(status, amount),
+        "paid_amount": paid_amount(F.col("payment_status"), amount),
+        "outstanding_amount": outstanding_amount(amount, F.col("total_paid_amount")),
+        "order_date": F.to_date(ordered_at),
+        "order_year": F.year(ordered_at),
+        "order_month": F.month(ordered_at),
+        "order_day_of_week": iso_weekday(ordered_at),
+        "dbt_loaded_at": now(params),
+    }
+
+
+def fct_orders(warehouse: Warehouse) -> DataFrame:
     customers = warehouse.ref("dim_customers").select(
         "customer_id", "customer_name", "customer_tier", "activity_status"
     )
     # A customer with very many orders fills a partition of its own; adaptive execution splits it.
     orders = _orders_with_payments(warehouse).join(customers, "customer_id", "left")
-    return orders.withColumns(
-        {
-            "net_revenue": net_revenue(status, amount),
-            "paid_amount": paid_amount(F.col("payment_status"), amount),
-            "outstanding_amount": outstanding_amount(amount, F.col("total_paid_amount")),
-            "order_year": F.year(ordered_at),
-            "order_month": F.month(ordered_at),
-            "order_day_of_week": iso_weekday(ordered_at),
-            "source_loaded_at": F.col("loaded_at"),
-            "dbt_loaded_at": now(warehouse.params),
-        }
-    ).select(*FCT_ORDERS)
+    return orders.withColumns({"source_loaded_at": F.col("loaded_at"), **of_orders(warehouse.params)}).select(*FCT_ORDERS)
+
+
+def of_payments(params: Params) -> dict[str, Column]:
+    """Columns of the payment fact that follow from its other ones: they need not be shuffled."""
+    return {
+        "payment_date": F.to_date("paid_at"),
+        "is_successful_payment": is_successful_payment(F.col("payment_status")),
+        "dbt_loaded_at": now(params),
+    }
 
 
 def fct_payments(warehouse: Warehouse) -> DataFrame:
@@ -187,13 +200,7 @@ def fct_payments(warehouse: Warehouse) -> DataFrame:
         "order_id", "customer_id", "customer_name", "customer_tier", "order_amount", "order_status"
     )
     enriched = payments.join(orders, "order_id", "left")
-    return enriched.withColumns(
-        {
-            "is_successful_payment": is_successful_payment(F.col("payment_status")),
-            "source_loaded_at": F.col("loaded_at"),
-            "dbt_loaded_at": now(warehouse.params),
-        }
-    ).select(*FCT_PAYMENTS)
+    return enriched.withColumns({"source_loaded_at": F.col("loaded_at"), **of_payments(warehouse.params)}).select(*FCT_PAYMENTS)
 
 
 def fct_daily_sales(warehouse: Warehouse) -> DataFrame:

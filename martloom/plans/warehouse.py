@@ -31,14 +31,22 @@ class Model:
     small: bool = False
     # what is measured while a stored mart is written, besides its rows
     measures: Callable[[Params], dict[str, Column]] = lambda params: {}
+    # columns that follow from the others, computed behind the range shuffle of a stored mart
+    derived: Callable[[Params], dict[str, Column]] = lambda params: {}
 
 
 def _view(build: Callable, layer: str, *tags: str) -> Model:
     return Model(build, layer, tags=frozenset({layer, *tags}))
 
 
-def _mart(build: Callable, order_by: str, *tags: str, small: bool = False, measures: Callable = lambda params: {}) -> Model:
-    return Model(build, "analytics", tuple(order_by.split()), frozenset(tags), True, small, measures)
+def _nothing(params: Params) -> dict[str, Column]:
+    return {}
+
+
+def _mart(
+    build: Callable, order_by: str, *tags: str, small: bool = False, measures: Callable = _nothing, derived: Callable = _nothing
+) -> Model:
+    return Model(build, "analytics", tuple(order_by.split()), frozenset(tags), True, small, measures, derived)
 
 
 def _of_orders(params: Params) -> dict[str, Column]:
@@ -64,9 +72,13 @@ MODELS: dict[str, Model] = {
     "dim_customers_enriched": _mart(
         core.dim_customers_enriched, "customer_id", "marts", "core", "customers", "enriched"
     ),
-    "fct_orders": _mart(core.fct_orders, "order_date order_id", "marts", "core", "fact", measures=_of_orders),
+    "fct_orders": _mart(
+        core.fct_orders, "order_date order_id", "marts", "core", "fact", measures=_of_orders, derived=core.of_orders
+    ),
     "fct_daily_sales": _mart(core.fct_daily_sales, "order_date", "marts", "core", "aggregated", small=True),
-    "fct_payments": _mart(core.fct_payments, "payment_date payment_id", "marts", "core", "payments"),
+    "fct_payments": _mart(
+        core.fct_payments, "payment_date payment_id", "marts", "core", "payments", derived=core.of_payments
+    ),
     "customer_metrics": _mart(marketing.customer_metrics, "customer_id", "marts", "marketing", "metrics"),
     "customer_acquisition": _mart(
         marketing.customer_acquisition, "signup_date", "marts", "marketing", "acquisition", small=True
@@ -124,7 +136,10 @@ class Warehouse:
                 df = model.build(self)
                 if self.root and model.stored:
                     measures, measured = {"rows": F.count(F.lit(1)), **model.measures(self.params)}, {}
-                    df = publish_files(df, self.path(name), model.order_by, self.fmt, not model.small, measures, measured)
+                    derived = model.derived(self.params)
+                    df = publish_files(
+                        df, self.path(name), model.order_by, self.fmt, not model.small, measures, measured, derived=derived
+                    )
                     self._measured[name] = measured
                 self._built[name] = df
             return self._built[name]

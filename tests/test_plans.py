@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import re
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import PARAMS, golden
+import helpers
+from helpers import PARAMS, customer, golden, order, payment
 from martloom import Warehouse
 from martloom.operators import quality, sinks
 from martloom.plans import checks, workload
+from martloom.plans.warehouse import MODELS
 from martloom.plans.workload import sample_warehouse
 from martloom.sources.sample import SAMPLE_PARAMS, sample_sources
 
@@ -183,6 +186,36 @@ def test_stored_marts_are_measured_as_they_are_written(spark, tmp_path):
         assert measured == {"rows": 5000, "twos": 1666, "most": 4999}
 
 
+@pytest.mark.parametrize(
+    ("name", "absent"),
+    [("fct_orders", "net_revenue|order_date|order_year"), ("fct_payments", "payment_date|is_successful_payment|dbt_loaded_at")],
+)
+def test_derived_columns_are_not_shuffled(shuffled, name, absent):
+    model, warehouse = MODELS[name], sample_warehouse(shuffled, SAMPLE)
+    whole = warehouse.ref(name)
+    rows = sinks.sorted_by(whole, model.order_by, model.derived(warehouse.params))
+    ranged = rows._jdf.queryExecution().optimizedPlan().toString().partition("RepartitionByExpression")[2].partition("\n")[2]
+    assert "order_amount#" in ranged and not re.search(rf"\b({absent})#", ranged)
+    assert rows.dtypes == whole.dtypes
+    assert sorted(map(str, rows.collect())) == sorted(map(str, whole.collect()))
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_stored_facts_equal_composed_ones_over_odd_rows(spark, tmp_path, unique):
+    orders = [order(1, 1, "10.00", "pending", datetime(2023, 12, 31, 23, 59)), order(2, 9, "0.00"), order(None, 1, "5.00"), order(3, 1, "-1.00")]
+    orders += [] if unique else [order(1, 1, "20.00"), order(1, 1, "10.00", "pending", datetime(2023, 12, 31, 23, 59))]
+    payments = [payment(1, 1, "10.00", created=datetime(2024, 2, 29, 0, 0)), payment(None, 1, "3.00"), payment(3, 77, "1.00", status="pending"), payment(3, 77, "1.00")]
+    params = replace(PARAMS, unique_ids=unique)
+    composed = helpers.warehouse(spark, [customer(1)], orders, payments, params)
+    stored = helpers.warehouse(spark, [customer(1)], orders, payments, params, root=str(tmp_path))
+    for name in ("fct_orders", "fct_payments"):
+        df, days = stored.ref(name), MODELS[name].order_by[0]
+        assert helpers.rows(df) == helpers.rows(composed.ref(name)) and df.columns == composed.ref(name).columns
+        moments = {"order_date": "ordered_at", "payment_date": "paid_at"}[days]
+        assert df.filter(F.col(days) == F.to_date(moments)).count() == df.count() > 2
+        assert all(path.endswith(".zstd.parquet") for path in df.inputFiles())
+
+
 def test_stated_unique_ids_are_checked_before_marts_are_stored(spark, tmp_path):
     rows = golden(spark).source("orders")
     sources = {"customers": lambda s: golden(s).source("customers"), "orders": lambda s: rows.union(rows), "payments": lambda s: golden(s).source("payments")}
