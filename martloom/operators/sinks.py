@@ -50,8 +50,8 @@ def overwrite_table(df: DataFrame, table: str, order_by: Iterable[str] = (), fmt
     sorted_by(df, order_by).write.format(fmt).mode("overwrite").saveAsTable(table)
 
 
-# a task reads and sorts some 250 bytes of memory a row of its part
-BUCKET_ROWS = 500_000
+# A task sorts its part in some 250 bytes of memory a row. Many more, smaller parts would cost memory where rows are dealt out.
+BUCKET_ROWS = 1_250_000
 
 
 def buckets_for(tables: Iterable[DataFrame], least: int = 1, rows: int = BUCKET_ROWS) -> int:
